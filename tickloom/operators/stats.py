@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tickloom.operators.drift import bucket_of, cut_points, to_long
 
 # Selection thresholds (fixed values).
-CORR_THRESHOLD = 0.95
+CORR_THRESHOLD = 0.90
 MI_THRESHOLD = 0.001
 
 

@@ -16,15 +16,18 @@ BLOCKING_PREFIXES = (
     "feature_quality_", "schema_drift_",
 )
 VALIDATION_PREFIXES = ("raw_count", "features_count", *BLOCKING_PREFIXES)
-MAX_RAW_FRESHNESS_HOURS, MAX_DECISION_AGE_HOURS = 6.0, 12.0
+MAX_RAW_FRESHNESS_HOURS, MAX_DECISION_AGE_HOURS = 3.0, 12.0
 
 
-def gate_counts(metrics: DataFrame) -> DataFrame:
-    """The six facts the gate looks at, from one aggregate over the latest metrics."""
+def gate_counts(metrics: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The six facts the gate looks at, from one aggregate over the latest metrics.
+
+    ``by`` decides for many tables or assets at once.
+    """
     name = F.col("metric_name")
     alert = F.col("status") == "alert"
     drift, blocking = any_match(name, DRIFT_PREFIXES), any_match(name, BLOCKING_PREFIXES)
-    return latest_metrics(metrics).agg(
+    return latest_metrics(metrics, by).groupBy(*by).agg(
         F.count_if(alert).alias("alert_count"),
         F.count_if(alert & blocking).alias("blocking_alert_count"),
         F.count_if(alert & ~blocking & ~drift).alias("non_blocking_alert_count"),
@@ -141,16 +144,13 @@ def latest_decision(decisions: DataFrame) -> DataFrame:
     return decisions.agg(F.max_by(row, F.struct("decision_time", *columns)).alias("d")).select("d.*")
 
 
-def refresh_action(
-    decisions: DataFrame,
-    as_of,
-    expected_mode: str = "drift",
-    max_age_hours: float = MAX_DECISION_AGE_HOURS,
+def judge_refresh(
+    decisions: DataFrame, as_of, expected_mode: str = "drift", max_age_hours: float = MAX_DECISION_AGE_HOURS
 ) -> DataFrame:
-    """What the refresh trigger does with the newest decision, as an ``action`` code."""
+    """Add ``decision_age_hours`` and ``action``: what the refresh trigger does with each decision."""
     c = F.col
     age = age_hours(c("decision_time"), as_of)
-    held_back = c("reason").contains("blocking") | c("reason").contains("stale") | c("reason").contains("missing")
+    held_back = c("reason").rlike("blocking|stale|missing")
     action = first_true(
         [
             (c("decision_time").isNull(), F.lit("SKIP_MODEL_REFRESH_NO_DECISION")),
@@ -161,13 +161,18 @@ def refresh_action(
         ],
         F.lit("TRIGGER_MODEL_REFRESH"),
     )
-    return latest_decision(decisions).select(
-        "decision_time", age.alias("decision_age_hours"), "trigger_mode", "should_retrain", "reason", action.alias("action")
-    )
+    return decisions.withColumns({"decision_age_hours": age, "action": action})
+
+
+def refresh_action(
+    decisions: DataFrame, as_of, expected_mode: str = "drift", max_age_hours: float = MAX_DECISION_AGE_HOURS
+) -> DataFrame:
+    """The action for the newest decision; one row even when there is none."""
+    return judge_refresh(latest_decision(decisions), as_of, expected_mode, max_age_hours)
 
 
 def training_skip(
-    decisions: DataFrame, as_of, expected_mode: str = "scheduled", max_age_hours: float = MAX_DECISION_AGE_HOURS
+    decisions: DataFrame, as_of, expected_mode: str = "drift", max_age_hours: float = MAX_DECISION_AGE_HOURS
 ) -> DataFrame:
     """Why training should be skipped; ``skip_reason`` is NULL when it may run."""
     c = F.col
@@ -206,19 +211,19 @@ ACTION_STEPS = {
 }
 
 
-def remediation_plan(metrics: DataFrame, action_time) -> DataFrame:
+def remediation_plan(metrics: DataFrame, action_time, by: tuple[str, ...] = ()) -> DataFrame:
     """One row: safe actions, the steps they run, reasons that need a person, and the resulting status.
 
     ``status`` is what gets recorded when every step succeeds. Works on the latest row per metric
     name, a set bounded by the number of metric names.
     """
-    latest = latest_metrics(metrics)
+    latest = latest_metrics(metrics, by)
     name, alert = F.col("metric_name"), F.col("status") == "alert"
     raised = lambda *names: F.count_if(alert & name.isin(*names)) > 0
     snapshot = F.map_from_entries(
         F.sort_array(F.collect_list(F.struct(name.alias("key"), F.struct("metric_value", "status", "details").alias("value"))))
     )
-    facts = latest.agg(
+    facts = latest.groupBy(*by).agg(
         F.count_if(alert).alias("alerts"),
         *[raised(n).alias(n) for n in MANUAL_REASONS],
         F.sort_array(F.collect_list(F.when(alert & name.startswith("schema_drift_"), name))).alias("schema"),
@@ -267,6 +272,7 @@ def remediation_plan(metrics: DataFrame, action_time) -> DataFrame:
     )
     no_steps = F.array().cast("array<string>")
     return planned.select(
+        *by,
         F.lit(action_time).alias("action_time"),
         status.alias("status"),
         reason.alias("reason"),

@@ -58,10 +58,11 @@ def metric_rows(facts: DataFrame, metrics: list[Metric], metric_time, versions:
     )
 
 
-def latest_metrics(metrics: DataFrame) -> DataFrame:
-    """The newest row of each metric name, as an aggregate that combines on the map side."""
+def latest_metrics(metrics: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The newest row of each metric name (per group), as an aggregate that combines on the map side."""
     row = F.struct("metric_time", "metric_value", "status", "details")
-    return metrics.groupBy("metric_name").agg(F.max(row).alias("m")).select("metric_name", "m.*")
+    newest = metrics.groupBy(*by, "metric_name").agg(F.max(row).alias("m"))
+    return newest.select(*by, "metric_name", "m.*")
 
 
 def status_counts(metrics: DataFrame) -> DataFrame:

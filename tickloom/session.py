@@ -23,6 +23,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for name, value in SESSION_DEFAULTS.items():
         builder = builder.config(name, value)

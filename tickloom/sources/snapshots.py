@@ -26,6 +26,9 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str, time: str = "open_time"):
         self.spark, self.root, self.time = spark, root.rstrip("/"), time
 
+    def _day(self):
+        return F.coalesce(F.date_format(self.time, "yyyy-MM-dd"), F.lit("unknown"))
+
     # -- metadata ---------------------------------------------------------------------------
 
     def index(self) -> DataFrame:
@@ -67,7 +70,7 @@ class SnapshotTable:
         latest = self.latest_version()
         version = 0 if latest is None else latest + 1
         folder = f"{self.root}/data/version={version}"
-        day = F.date_format(self.time, "yyyy-MM-dd")
+        day = self._day()
         # Hash by day and a few sub-buckets: a heavy day is written by several tasks.
         salted = df.withColumn("day", day).repartition("day", F.pmod(F.hash(F.col(self.time)), F.lit(8)))
         salted.write.mode("errorifexists").partitionBy("day").parquet(folder)
@@ -96,7 +99,7 @@ class SnapshotTable:
         latest = self.latest_version()
         if latest is None:
             return self._publish(source)
-        touched = source.select(F.date_format(self.time, "yyyy-MM-dd").alias("day")).distinct()
+        touched = source.select(self._day().alias("day")).distinct()
         held = self.index().groupBy("day").agg(F.max("version").alias("v")).join(touched, "day")
         folders = [f"{self.root}/data/version={r.v}/day={r.day}" for r in held.sort("day").toLocalIterator()]
         if not folders:
