@@ -169,18 +169,18 @@ _KEY_SQL = "CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END"
 
 @query(
     "upsert_null_keys",
-    f"""WITH raw AS (SELECT l_orderkey AS k1, {_KEY_SQL} AS k2, max(l_quantity) AS q, max(l_tax) AS t FROM lineitem GROUP BY 1, 2),
-    target AS (SELECT k1, k2, q FROM raw WHERE k1 % 3 <> 0), source AS (SELECT k1, k2, q + 100 AS q FROM raw WHERE k1 % 2 = 0)
+    f"""WITH target AS (SELECT l_orderkey AS k1, {_KEY_SQL} AS k2, max(l_quantity) AS q FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1, 2),
+    source AS (SELECT l_orderkey AS k1, {_KEY_SQL} AS k2, max(l_quantity) + 100 AS q FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1, 2)
     SELECT k1, k2, q FROM source UNION ALL
     SELECT k1, k2, q FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.k1 = t.k1 AND s.k2 IS NOT DISTINCT FROM t.k2)""",
 )
 def upsert_null_keys(spark, sf):
-    """Composite key whose second part may be NULL and then matches NULL."""
+    """Open lines merged over closed ones; the second key part may be NULL and then matches NULL."""
     part = F.when(F.col("l_linenumber") != 7, F.col("l_linenumber"))
-    raw = base.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("k1"), part.alias("k2")).agg(F.max("l_quantity").alias("q"))
-    target = raw.where(F.col("k1") % 3 != 0)
-    source = raw.where(F.col("k1") % 2 == 0).withColumn("q", F.col("q") + 100)
-    return upsert(target, source, ["k1", "k2"], null_safe=["k2"])
+    lines = base.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k1"), part.alias("k2"), "l_quantity", "l_returnflag")
+    held = lines.where(F.col("l_returnflag") != "N").groupBy("k1", "k2").agg(F.max("l_quantity").alias("q"))
+    new = lines.where(F.col("l_returnflag") == "N").groupBy("k1", "k2").agg((F.max("l_quantity") + 100).alias("q"))
+    return upsert(held, new, ["k1", "k2"], null_safe=["k2"])
 
 
 @query(
