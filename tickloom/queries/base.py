@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType
 
 from tickloom.operators.bars import build_bars
 from tickloom.operators.indicators import drop_warmup, full_features
+from tickloom.session import checkpointed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +82,11 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     return drop_warmup(full_features(bars(spark, sf)))
 
 
+def stored_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The feature rows written once, for operators that read them in several passes."""
+    return checkpointed(features(spark, sf))
+
+
 def newest_event(spark: SparkSession, sf: str) -> Column:
     """The evaluation time: the newest event, as a scalar subquery."""
     return table(spark, sf, "events").agg(F.max("ts")).scalar()

@@ -8,6 +8,7 @@ from tickloom.operators import drift as d
 from tickloom.plans import monitor
 from tickloom.queries import base
 from tickloom.queries.base import SQL_FEATURES, SQL_PREDICTIONS, query, rounded, sql_r6
+from tickloom.session import checkpointed
 
 COLUMNS = ["volume", "quote_volume", "trades", "return_1h", "close", "ma_24", "target_close_1h"]
 # The data spans 30 days: 168 recent hours against the 500 before them.
@@ -45,7 +46,7 @@ _DRIFT = f"{SQL_FEATURES}, {_WINDOWS}, {sql_drift(COLUMNS)}"
 
 
 def windows(spark, sf):
-    return d.label_windows(base.features(spark, sf), "open_time", RECENT, REFERENCE)
+    return d.label_windows(base.stored_features(spark, sf), "open_time", RECENT, REFERENCE)
 
 
 @query("quantile_cuts", f"WITH {_DRIFT} SELECT feature, position, {sql_r6('cuts[position]', 'cut')} FROM cuts, (SELECT unnest(range(1, 10)) AS position)")
@@ -98,7 +99,7 @@ _ALERTING = "'volume', 'quote_volume', 'trades', 'return_1h'"
 def drift_metrics_long(spark, sf):
     """The whole drift metric set, one requested column of which does not exist."""
     out = monitor.feature_drift_metrics(
-        base.features(spark, sf), base.newest_event(spark, sf), columns=(*monitor.DRIFT_FEATURES, "spread_ratio"),
+        base.stored_features(spark, sf), base.newest_event(spark, sf), columns=(*monitor.DRIFT_FEATURES, "spread_ratio"),
         recent_hours=RECENT, reference_hours=REFERENCE,
     )
     return rounded(out.select("metric_name", "metric_value", "status"))
@@ -116,7 +117,8 @@ _PRED_WINDOWS = f"""windows AS (
     UNION ALL SELECT 'prediction_drift_ks_predicted_close', {sql_r6('ks')}, {_status('ks', 0.30, 999)} FROM drift""",
 )
 def prediction_drift(spark, sf):
-    out = monitor.prediction_drift_metrics(base.predictions(spark, sf), base.newest_event(spark, sf), RECENT, REFERENCE)
+    predictions = checkpointed(base.predictions(spark, sf))
+    out = monitor.prediction_drift_metrics(predictions, base.newest_event(spark, sf), RECENT, REFERENCE)
     return rounded(out.select("metric_name", "metric_value", "status"))
 
 
