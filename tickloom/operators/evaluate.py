@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions import scores
+from tickloom.operators.windows import BlockPlan, over_series
 
 # Evaluation bounds (fixed values).
 MAX_EVALUATION_ROWS, MIN_EVALUATION_ROWS = 2000, 100
@@ -35,13 +36,21 @@ def performance_log(scored: DataFrame, actual: str, predicted: str) -> DataFrame
     )
 
 
-def moves(scored: DataFrame, keys: list[str], time: str, actual="actual_close", predicted="predicted_close") -> DataFrame:
+def moves(
+    scored: DataFrame,
+    keys: list[str],
+    time: str,
+    actual="actual_close",
+    predicted="predicted_close",
+    plan: BlockPlan | None = BlockPlan(lookback=1),
+) -> DataFrame:
     """Add ``same_move``: do both sides change in the same direction since the previous row?
 
-    Use it on a bounded time range (the monitors pass the recent window).
+    Long series run in blocks. ``plan=None`` suits input that is already bounded in time, such as the
+    recent window of the monitors.
     """
-    ordered = Window.partitionBy(*keys).orderBy(time)
-    return scored.withColumn("same_move", scores.same_move(actual, predicted, ordered))
+    mark = lambda df, w: df.withColumn("same_move", scores.same_move(actual, predicted, w.ordered))
+    return over_series(scored, keys, time, mark, plan)
 
 
 def guarded_error(scored: DataFrame, at_least: int = 12) -> DataFrame:

@@ -176,10 +176,12 @@ def basic_features(
     lag_steps=LAGS,
     keys: list[str] | None = None,
     plan: BlockPlan | None = FULL_PLAN,
+    unique: bool = False,
 ) -> DataFrame:
     """The small feature set: averages, lags, one return, spreads, hour, weekday, next-hour close.
 
-    Repeated bars are reduced to one per (keys, open_time) first.
+    Repeated bars are reduced to one per (keys, open_time) first, unless ``unique`` says there are
+    none (bars built by aggregation, or merged by key).
     """
     keys = KEYS if keys is None else keys
     reach = max([*sizes, *lag_steps, 1])
@@ -193,7 +195,8 @@ def basic_features(
             df, averages(w, sizes, ratios=False), lags(w, lag_steps), returns(w, (1,)), spreads(), when, target
         )
 
-    return over_series(one_per_key(bars, [*keys, TIME]), keys, TIME, build, plan)
+    rows = bars if unique else one_per_key(bars, [*keys, TIME])
+    return over_series(rows, keys, TIME, build, plan)
 
 
 def full_features(

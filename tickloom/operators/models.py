@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickloom.functions import scores
 from tickloom.operators.split import fold_train, fold_validate
-from tickloom.operators.windows import row_index
+from tickloom.operators.windows import stored_row_index
 from tickloom.schemas import EXPLANATIONS, conform
 from tickloom.session import checkpointed
 
@@ -129,7 +129,7 @@ def permutation_contributions(
     rows = df.select(*order, *[c for c in feature_cols if c not in order]).dropna()
     if sample_rows is not None:
         rows = rows.orderBy(*order).limit(sample_rows)
-    indexed = checkpointed(row_index(rows, order))
+    indexed = stored_row_index(rows, order)
     total = indexed.agg(F.count("*")).scalar()
     vector = F.array(*[F.col(c).cast("double") for c in feature_cols])
     own = indexed.select("row_idx", vector.alias("own"))

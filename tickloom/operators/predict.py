@@ -12,12 +12,18 @@ from tickloom.schemas import PREDICTIONS, struct_of
 def latest_complete(
     features: DataFrame, feature_cols: list[str], keys: list[str] | None = None, time: str = "open_time"
 ) -> DataFrame:
-    """Newest row per series with all features and the close known. ``max_by`` combines map-side."""
+    """Newest row per series with all features and the close known.
+
+    (keys, time) is unique, so one ``max_by`` per column picks the same row, and fixed-width buffers
+    keep it a hash aggregate over an unsorted scan; a ``max_by`` of the whole row would sort.
+    """
     keys = ["symbol"] if keys is None else keys
     needed = list(dict.fromkeys([*feature_cols, "close"]))
     ready = features.select(*keys, time, *needed).dropna(subset=needed)
-    newest = F.max_by(F.struct(time, *needed), F.col(time))
-    return ready.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
+    newest = [F.max_by(c, time).alias(c) for c in needed]
+    return ready.groupBy(*keys).agg(F.max(time).alias("_newest"), *newest).select(
+        *keys, F.col("_newest").alias(time), *needed
+    )
 
 
 def to_close_and_return(scored: DataFrame, target_col: str, prediction: str = "prediction") -> DataFrame:

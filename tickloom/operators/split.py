@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.operators.windows import row_index
+from tickloom.operators.windows import stored_row_index
 
 
 def complete_rows(df: DataFrame, columns: list[str], time: str = "open_time", keys=("symbol",)) -> DataFrame:
@@ -19,36 +17,32 @@ def split_index(rows: Column, fraction: float) -> Column:
     return F.floor(rows * F.lit(float(fraction))).cast("bigint")
 
 
-def temporal_split(
-    df: DataFrame,
-    fraction: float = 0.8,
-    order: list[str] | None = None,
-    bucket: timedelta = timedelta(hours=1),
-) -> DataFrame:
-    """Add ``row_idx`` and ``split`` (train/test): the first share of rows by time trains, unshuffled."""
-    order = order or ["open_time", "symbol"]
-    total = df.agg(F.count("*")).scalar()
-    indexed = row_index(df, order, bucket=bucket)
+def temporal_split(df: DataFrame, fraction: float = 0.8, order: list[str] | None = None) -> DataFrame:
+    """Add ``row_idx`` and ``split`` (train/test): the first share of rows by time trains, unshuffled.
+
+    The indexed rows are stored once; counting and every later pass read that copy.
+    """
+    indexed = stored_row_index(df, order or ["open_time", "symbol"])
+    total = indexed.agg(F.count("*")).scalar()
     return indexed.withColumn(
         "split", F.when(F.col("row_idx") < split_index(total, fraction), "train").otherwise("test")
     )
 
 
-def cv_blocks(df: DataFrame, folds: int = 5, order: list[str] | None = None, bucket: timedelta = timedelta(hours=1)) -> DataFrame:
+def cv_blocks(df: DataFrame, folds: int = 5, order: list[str] | None = None) -> DataFrame:
     """Add ``cv_block``: fold i validates on block i and trains on every row with a smaller block.
 
     The first rows, which only ever train, are block -1. One column serves all folds, so no row is
     copied per fold.
     """
-    order = order or ["open_time", "symbol"]
     size = F.floor(F.col("_n") / (folds + 1))
     first = F.col("_n") - folds * size
-    total = df.agg(F.count("*")).scalar()
-    indexed = row_index(df, order, bucket=bucket).withColumn("_n", total)
+    indexed = stored_row_index(df, order or ["open_time", "symbol"])
+    total = indexed.agg(F.count("*")).scalar()
     block = F.when(F.col("row_idx") < first, F.lit(-1)).otherwise(
         F.floor((F.col("row_idx") - first) / size)
     )
-    return indexed.withColumn("cv_block", block.cast("int")).drop("_n")
+    return indexed.withColumn("_n", total).withColumn("cv_block", block.cast("int")).drop("_n")
 
 
 def fold_train(df: DataFrame, fold: int) -> DataFrame:

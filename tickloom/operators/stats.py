@@ -18,15 +18,12 @@ def correlation_pairs(df: DataFrame, columns: list[str], threshold: float = 0.0)
 
     All pairs come from one aggregate: each task sends a few moments per pair, never rows.
     """
-    pairs = [
-        F.struct(
-            F.lit(a).alias("feature_1"),
-            F.lit(b).alias("feature_2"),
-            F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("correlation"),
-        )
+    cells = ", ".join(
+        f"named_struct('feature_1', '{a}', 'feature_2', '{b}', "
+        f"'correlation', corr(CAST(`{a}` AS DOUBLE), CAST(`{b}` AS DOUBLE)))"
         for a, b in combinations(columns, 2)
-    ]
-    table = df.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
+    )
+    table = df.agg(F.expr(f"array({cells})").alias("pairs")).select(F.inline("pairs"))
     size = F.abs("correlation")
     return table.where(size >= threshold).select(
         "feature_1", "feature_2", "correlation", size.alias("abs_correlation")
@@ -42,10 +39,9 @@ def mutual_information(
     parts x parts rows per column and task.
     """
     complete = df.select(*columns, target).dropna()
-    cuts = F.broadcast(cut_points(complete, [*columns, target], parts, accuracy))
-    goal = F.broadcast(cuts.where(F.col("feature") == target).select(F.col("cuts").alias("target_cuts")))
+    cuts = F.broadcast(cut_points(complete, columns, parts, accuracy))  # one row per column
+    target_cuts = cut_points(complete, [target], parts, accuracy).select("cuts").scalar()
     values = to_long(complete.withColumn("_y", F.col(target).cast("double")), columns, ["_y"])
-    target_cuts = goal.scalar()
     joint = (
         values.join(cuts, "feature")
         .select(

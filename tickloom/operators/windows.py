@@ -16,9 +16,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import timedelta
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from tickloom.session import checkpointed
+
 _BLOCK, _COPY = "_block", "_copy"
 _MICROSECOND = timedelta(microseconds=1)
 
@@ -98,14 +101,14 @@ def assign_blocks(df: DataFrame, keys: list[str], time: str, plan: BlockPlan) ->
     return placed.select(*df.columns, F.inline(F.array_compact(F.array(*homes))).alias(_BLOCK, _COPY))
 
 
-@dataclass(frozen=True)
+@dataclass
 class SeriesWindow:
     """Frames over one series (or one block of it), ordered by time."""
 
     partition: tuple[str, ...]
     time: str
 
-    @property
+    @cached_property
     def ordered(self) -> WindowSpec:
         return Window.partitionBy(*self.partition).orderBy(self.time)
 
@@ -151,10 +154,11 @@ def row_index(
     bucket: timedelta = timedelta(hours=1),
     name: str = "row_idx",
 ) -> DataFrame:
-    """Exact zero-based row number in ``order`` without a global sort.
+    """Exact zero-based row number in ``order`` without a global sort; lazy.
 
     ``order[0]`` is the time column. Rows are numbered inside (keys, bucket) and shifted by the
-    number of rows in earlier buckets, so the largest task holds one calendar bucket.
+    number of rows in earlier buckets, so a task holds one calendar bucket. Where a single bucket may
+    hold a large share of the table, use :func:`stored_row_index`.
     """
     keys = keys or []
     starts = _bucket_starts(df, keys, order[0], bucket).select(*keys, "_bucket", "_start")
@@ -162,3 +166,30 @@ def row_index(
     placed = df.withColumn("_bucket", _bucket(order[0], bucket)).join(starts, [*keys, "_bucket"])
     number = F.col("_start") + F.row_number().over(inside) - 1
     return placed.select(*df.columns, number.cast("bigint").alias(name))
+
+
+# Layout of Spark's monotonically_increasing_id: partition above, position in the low 33 bits.
+_POSITION_BITS = 33
+
+
+def stored_row_index(df: DataFrame, order: list[str], name: str = "row_idx") -> DataFrame:
+    """Exact zero-based row number in ``order``, written once to the shared folder.
+
+    Rows are range-partitioned on the whole order, which splits even one hot timestamp as long as the
+    full order tells its rows apart, and sorted inside partitions. The position in the partition plus
+    the rows of earlier partitions is the index. Writing first fixes the ranges, so a lost executor
+    cannot renumber rows between the count and the use.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = checkpointed(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", _POSITION_BITS)
+    counts = stored.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
+    # One row per write task: bounded by the shuffle partition setting, not by the data.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    position = F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    return (
+        stored.withColumn("_part", part)
+        .join(F.broadcast(starts), "_part")
+        .select(*df.columns, (F.col("_start") + position).alias(name))
+    )

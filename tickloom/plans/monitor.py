@@ -240,7 +240,7 @@ def performance_facts(
     valid = F.col("predicted_close") > min_valid
     order_keys = series if series is not None else keys
     # Invalid rows take no part in the direction test: partitioning by validity keeps them apart.
-    marked = moves(recent.withColumn("_valid", valid), [*order_keys, "_valid"], "feature_open_time")
+    marked = moves(recent.withColumn("_valid", valid), [*order_keys, "_valid"], "feature_open_time", plan=None)
     a = F.when(valid, F.col("actual_close"))
     p = F.when(valid, F.col("predicted_close"))
     return marked.agg(

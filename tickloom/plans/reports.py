@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tickloom.functions.parse import any_match
 from tickloom.operators.bars import calendar_totals
 from tickloom.operators.horizon import predictions_with_actuals
+from tickloom.operators.indicators import HORIZON
 from tickloom.plans.monitor import MIN_VALID_PREDICTION
 
 # Prefix groups of the metric reports (fixed values).
@@ -63,13 +64,16 @@ def actual_vs_predicted(
 ) -> DataFrame:
     """Newest predictions with the close they forecast where it is known.
 
-    The left join keeps every prediction and adds at most one bar (bars are unique by key and time),
-    so the top-N runs first and only its rows are joined.
+    Bars are unique by key and time, so the left join neither drops nor multiplies rows and the top-N
+    can run first. Its at most ``limit`` rows are broadcast to pick their bars without a shuffle of
+    the bars; the left join then meets two small sides.
     """
     valid = predictions.where(F.col("predicted_close") > min_valid)
     ties = _ties(predictions, keys)
     top = newest(valid, predictions.columns, ["prediction_time"], limit, ties)
-    joined = predictions_with_actuals(top, bars, list(keys), "left")
+    times = top.select(*keys, (F.col("feature_open_time") + F.lit(HORIZON)).alias("open_time")).distinct()
+    wanted = F.broadcast(times) if limit <= 10_000 else times
+    joined = predictions_with_actuals(top, bars.join(wanted, [*keys, "open_time"], "left_semi"), list(keys), "left")
     columns = [
         *keys, "prediction_time", "feature_open_time", "predicted_close", "actual_open_time", "actual_close", "abs_error", "pct_error",
     ]

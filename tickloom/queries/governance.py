@@ -21,8 +21,8 @@ split AS (SELECT *, CASE WHEN row_idx < CAST(floor(n * 0.8) AS BIGINT) THEN 'tra
 
 
 def model_rows(spark, sf):
-    """Model columns of complete rows, written once because the split reads them several times."""
-    return checkpointed(s.complete_rows(base.features(spark, sf), [TARGET, *COLUMNS]))
+    """Model columns of complete rows."""
+    return s.complete_rows(base.features(spark, sf), [TARGET, *COLUMNS])
 
 
 @query("temporal_split", f"WITH {_MODEL} SELECT symbol, open_time, row_idx, split FROM split")
@@ -78,7 +78,7 @@ _REPLAY = " UNION ALL ".join(f"SELECT '{n}' AS check_name, CAST({e} AS BIGINT) A
 @query("replay_check", f"WITH {_MODEL}, facts AS (SELECT {_BOUNDS} FROM split) {_REPLAY}")
 def replay_check(spark, sf):
     """A rebuilt split against its manifest: every check passes."""
-    split = checkpointed(s.temporal_split(model_rows(spark, sf)))
+    split = s.temporal_split(model_rows(spark, sf))
     return g.replay_checks(split, manifest(spark, sf, split), ["open_time", "symbol"])
 
 
@@ -96,7 +96,7 @@ _LATER = f"{_MODEL}, facts AS (SELECT {_BOUNDS} FROM split), kept AS (SELECT * E
 )
 def replay_mismatch(spark, sf):
     """Replay after the first hour was lost: the checks that must notice do."""
-    rows = model_rows(spark, sf)
+    rows = checkpointed(model_rows(spark, sf))
     original = s.temporal_split(rows)
     first = rows.agg(F.min("open_time")).scalar()
     replayed = s.temporal_split(rows.where(F.col("open_time") > first))

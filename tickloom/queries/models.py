@@ -21,11 +21,11 @@ TARGET = "target_return_1h"
 
 
 def model_rows(spark, sf):
-    return checkpointed(s.complete_rows(base.features(spark, sf), [TARGET, *COLUMNS]))
+    return s.complete_rows(base.features(spark, sf), [TARGET, *COLUMNS])
 
 
 def _split(spark, sf):
-    rows = checkpointed(s.temporal_split(model_rows(spark, sf)))
+    rows = s.temporal_split(model_rows(spark, sf))
     return rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
 
 

@@ -25,6 +25,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Call-site capture costs a round trip per column expression while a plan is built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in SESSION_DEFAULTS.items():
         builder = builder.config(name, value)

@@ -87,14 +87,15 @@ class SnapshotTable:
             raise ValueError(f"{self.root} already has versions")
         return self._publish(df)
 
-    def upsert(self, source: DataFrame, keys: list[str], null_safe=True) -> int:
-        """Merge by key. Only the days present in the source are read and rewritten.
+    def upsert(self, source: DataFrame, keys: list[str], null_safe=True, unique: bool = False) -> int:
+        """Merge by key. Only the days present in the source are read and rewritten. Repeated source
+        keys are refused; ``unique`` skips that check where they cannot occur.
 
         A row of the source belongs to the day of its time, so a key must include the time column.
         """
         if self.time not in keys:
             raise ValueError(f"the key must include {self.time}")
-        if duplicate_keys(source, keys).limit(1).count():
+        if not unique and duplicate_keys(source, keys).limit(1).count():
             raise ValueError(f"the source holds repeated keys {keys}")
         latest = self.latest_version()
         if latest is None:

@@ -55,7 +55,7 @@ def merge_batch(batch: DataFrame, raw: SnapshotTable, quarantine: str | None = N
         good = good.where(~unparsed)
         if good.limit(1).count() == 0:
             return
-    raw.upsert(newest_load(good), BAR_KEYS)
+    raw.upsert(newest_load(good), BAR_KEYS, unique=True)
 
 
 def start_ingest(spark: SparkSession, paths: IngestPaths, max_files_per_trigger: int | None = None):
