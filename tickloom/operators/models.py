@@ -44,7 +44,9 @@ def assemble(df: DataFrame, feature_cols: list[str]) -> DataFrame:
 def estimator(algo: str, target: str, params: dict | None = None):
     shared = {"featuresCol": "features", "labelCol": target, "seed": SEED}
     if algo == "random_forest":
-        return RandomForestRegressor(**{**shared, "numTrees": 100, "maxDepth": 10, **(params or {})})
+        # Every split may use every feature, as in the baseline this stands for.
+        defaults = {"numTrees": 100, "maxDepth": 10, "featureSubsetStrategy": "all"}
+        return RandomForestRegressor(**{**shared, **defaults, **(params or {})})
     if algo == "gbt":
         return GBTRegressor(**{**shared, "maxIter": 20, "maxDepth": 6, **(params or {})})
     raise ValueError(f"unknown algorithm: {algo}")
