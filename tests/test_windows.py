@@ -34,7 +34,7 @@ def collect(df):
 @pytest.mark.parametrize("block_rows, days", [(193, 1), (200, 1), (257, 3), (400, 2), (4096, 7)])
 def test_blocks_equal_plain_windows(spark, hours, block_rows, days):
     df = gappy_bars(spark, hours, seed=block_rows).cache()
-    plan = BlockPlan(ind.FULL_LOOKBACK, ind.HORIZON, timedelta(days=days), block_rows)
+    plan = BlockPlan(ind.FULL_LOOKBACK, ind.HORIZON, timedelta(days=days), block_rows, split_above=0)
     assert collect(ind.full_features(df, plan=plan)) == collect(ind.full_features(df, plan=None))
 
 
@@ -54,20 +54,27 @@ def test_random_small_plans(spark, hours):
     plain = collect(over_series(df, ["symbol"], "open_time", build))
     for _ in range(6):
         bucket = rng.choice([2, 3, 6])
-        plan = BlockPlan(5, timedelta(hours=2), timedelta(hours=bucket), rng.randint(5 + bucket, 40))
+        plan = BlockPlan(5, timedelta(hours=2), timedelta(hours=bucket), rng.randint(5 + bucket, 40), split_above=rng.choice([0, 30]))
         assert collect(over_series(df, ["symbol"], "open_time", build, plan)) == plain
 
 
 def test_blocks_really_split_the_hot_series(spark, hours):
     df = gappy_bars(spark, hours)
-    blocks = assign_blocks(df, ["symbol"], "open_time", BlockPlan(10, None, timedelta(days=1), 60))
+    blocks = assign_blocks(df, ["symbol"], "open_time", BlockPlan(10, None, timedelta(days=1), 60, split_above=100))
     sizes = blocks.where("symbol = 'hot'").groupBy("_block").count().collect()
     assert len(sizes) > 5 and max(r["count"] for r in sizes) < 60 + 24 + 10 + 24
+    assert {r._block for r in blocks.where("symbol = 'rare'").collect()} == {0}  # short series stay whole
+
+
+def test_short_series_need_no_blocks(spark, hours):
+    df = gappy_bars(spark, hours, n=50)
+    plan = ind.full_features(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
 def test_overfull_bucket_is_an_error(spark, hours):
     df = gappy_bars(spark, hours)
-    plan = BlockPlan(10, None, timedelta(days=7), 60)
+    plan = BlockPlan(10, None, timedelta(days=7), 60, split_above=0)
     with pytest.raises(Exception, match="narrow the bucket"):
         assign_blocks(df, ["symbol"], "open_time", plan).count()
 

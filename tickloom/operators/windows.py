@@ -1,14 +1,15 @@
 """Row-frame windows over long series, cut into overlapping blocks.
 
-A window partitioned by series alone puts a whole series into one task. Here each series is cut into
+A window partitioned by series alone puts a whole series into one task. That is fine for short
+series, so series are counted first; only those with more than ``split_above`` rows are cut into
 blocks of about ``block_rows`` rows. The rows a block needs from its predecessor (``lookback``) and,
 for exact-horizon targets, from its successor (``ahead``) are copied into it, the window runs by
 (series, block), and the copies are dropped. The result equals the plain window.
 
-The cut needs no global sort. A small table counts rows per (series, calendar bucket); its running
-sum gives each bucket the index of its first row, and ``index div block_rows`` is the block. That
-table has at most (time span / bucket width) rows per series whatever the data volume, so its own
-window is bounded by the calendar.
+The cut needs no global sort. A small table counts rows per (long series, calendar bucket); its
+running sum gives each bucket the index of its first row, and ``index div block_rows`` is the block.
+That table has at most (time span / bucket width) rows per series whatever the data volume, so its
+own window is bounded by the calendar.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ class BlockPlan:
     lookback: int
     ahead: timedelta | None = None  # must not exceed the bucket width
     bucket: timedelta = timedelta(days=7)
-    block_rows: int = 4096
+    block_rows: int = 65_536
+    split_above: int = 1_000_000  # series up to this many rows stay whole; 0 cuts every series
 
     def __post_init__(self):
         if self.block_rows <= self.lookback:
@@ -64,15 +66,27 @@ def _bucket_starts(df: DataFrame, keys: list[str], time: str, width: timedelta)
     return counts.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
 
 
+# Rows of the block table that may be broadcast; beyond it the join shuffles.
+_BROADCAST_ROWS = 500_000
+
+
+def long_series(df: DataFrame, keys: list[str], plan: BlockPlan) -> DataFrame:
+    """Keys of the series to cut: at most (all rows / split_above) of them."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    return counts.where(F.col("_rows") > plan.split_above).select(*keys)
+
+
 def assign_blocks(df: DataFrame, keys: list[str], time: str, plan: BlockPlan) -> DataFrame:
     """Add the block number and emit the copies; ``_copy`` marks rows to drop after the window.
 
     With at most ``block_rows - lookback`` rows per bucket every block but the last holds at least
     ``lookback`` rows, so copies only ever go to the neighbouring block. A fuller bucket is an error,
-    not a silently wrong frame: choose a narrower bucket or larger blocks.
+    not a silently wrong frame: choose a narrower bucket or larger blocks. Series that stay whole
+    (and rows without a key) are block 0.
     """
     size = plan.block_rows
-    starts = _bucket_starts(df, keys, time, plan.bucket)
+    rows = df.select(*keys, time).join(long_series(df, keys, plan), keys, "left_semi")
+    starts = _bucket_starts(rows, keys, time, plan.bucket)
     too_full = F.raise_error(
         F.concat(
             F.lit(f"a bucket of {plan.bucket} holds more than {plan.bucket_cap} rows ("),
@@ -90,7 +104,11 @@ def assign_blocks(df: DataFrame, keys: list[str], time: str, plan: BlockPlan) ->
         # The bucket may open its block, so its first rows may be targets of the previous block.
         ((block > 0) & (F.col("_start") - block * size < plan.bucket_cap)).alias("_may_open"),
     )
-    placed = df.withColumn("_bucket", _bucket(time, plan.bucket)).join(starts, [*keys, "_bucket"])
+    starts = checkpointed(starts)
+    if starts.count() <= _BROADCAST_ROWS:
+        starts = F.broadcast(starts)
+    placed = df.withColumn("_bucket", _bucket(time, plan.bucket)).join(starts, [*keys, "_bucket"], "left")
+    placed = placed.withColumn(_BLOCK, F.coalesce(_BLOCK, F.lit(0)))
     home = lambda shift, copy: F.struct(
         (F.col(_BLOCK) + shift).alias("b"), F.lit(copy).alias("c")
     )
@@ -139,10 +157,13 @@ def over_series(
 ) -> DataFrame:
     """Run ``build(df, window)`` with a window that is local to a series.
 
-    ``plan=None`` partitions by the series keys alone: right when every series is known to be short.
+    With a plan, one counting job (keys only, combined on the map side) looks for series long enough
+    to cut. None: the plain window, one shuffle. Some: those run in blocks, the rest stay whole.
+    ``plan=None`` skips the look where every series is known to be short.
     """
-    if plan is None:
-        return build(df, SeriesWindow(tuple(keys), time))
+    whole = SeriesWindow(tuple(keys), time)
+    if plan is None or (plan.split_above > 0 and not long_series(df, keys, plan).limit(1).count()):
+        return build(df, whole)
     built = build(assign_blocks(df, keys, time, plan), SeriesWindow((*keys, _BLOCK), time))
     return built.where(~F.col(_COPY)).drop(_BLOCK, _COPY)
 

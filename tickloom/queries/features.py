@@ -112,7 +112,7 @@ def user_features_full(spark, sf):
 @query("blocked_window_features", f"WITH {SQL_BARS}, {sql_features()} SELECT symbol, open_time, {sql_rounded(FULL)} FROM all_features")
 def blocked_window_features(spark, sf):
     """Full features with blocks small enough that every series is cut several times."""
-    plan = BlockPlan(ind.FULL_LOOKBACK, ind.HORIZON, bucket=timedelta(days=1), block_rows=200)
+    plan = BlockPlan(ind.FULL_LOOKBACK, ind.HORIZON, bucket=timedelta(days=1), block_rows=200, split_above=0)
     return rounded(ind.full_features(base.bars(spark, sf), plan=plan).select("symbol", "open_time", *FULL.split()))
 
 
