@@ -1,6 +1,6 @@
 """De-duplication by key, as aggregates.
 
-``max_by`` combines on the map side, so a key that holds a third of all rows sends one row per map
+The maximum combines on the map side, so a key that holds a third of all rows sends one row per map
 task. A ``row_number`` window would ship and sort every copy in one task.
 """
 
@@ -14,10 +14,9 @@ def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[str], drop
 
     Rows that tie on all of them are told apart by their whole content, so a rerun picks the same one.
     """
-    rest = [c for c in df.columns if c not in keys]
-    whole = F.struct(*rest)
-    # NULL sorts below every value inside a struct comparison, so a missing load time loses.
-    picked = df.groupBy(*keys).agg(F.max_by(whole, F.struct(*newest_first, *rest)).alias("_row"))
+    rest = [c for c in df.columns if c not in keys and c not in newest_first]
+    # One struct holds order and content. NULL sorts below every value in it, so a missing load time loses.
+    picked = df.groupBy(*keys).agg(F.max(F.struct(*newest_first, *rest)).alias("_row"))
     kept = [c for c in df.columns if not (drop_order and c in newest_first)]
     return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in kept])
 

@@ -234,9 +234,7 @@ def performance_facts(
     """
     joined = predictions_with_actuals(predictions, bars, keys, "inner", horizon)
     newest = joined.agg(F.max("prediction_time")).scalar()
-    recent = joined.where(
-        newest.isNull() | (F.col("prediction_time") > newest - F.expr(f"INTERVAL {int(recent_hours)} HOURS"))
-    )
+    recent = joined.where(F.col("prediction_time") > newest - F.expr(f"INTERVAL {int(recent_hours)} HOURS"))
     valid = F.col("predicted_close") > min_valid
     order_keys = series if series is not None else keys
     # Invalid rows take no part in the direction test: partitioning by validity keeps them apart.

@@ -87,14 +87,21 @@ def stored_features(spark: SparkSession, sf: str) -> DataFrame:
     return checkpointed(features(spark, sf))
 
 
+def stored_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Bars, features and predictions with the first two written once, as a deployment holds them."""
+    raw = checkpointed(bars(spark, sf))
+    rows = checkpointed(drop_warmup(full_features(raw)))
+    return raw, rows, predictions(spark, sf, rows)
+
+
 def newest_event(spark: SparkSession, sf: str) -> Column:
     """The evaluation time: the newest event, as a scalar subquery."""
     return table(spark, sf, "events").agg(F.max("ts")).scalar()
 
 
-def predictions(spark: SparkSession, sf: str) -> DataFrame:
+def predictions(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
     """Two rule-based models over the feature rows: the last close and the 7-bar average."""
-    rows = features(spark, sf)
+    rows = features(spark, sf) if rows is None else rows
     models = F.array(
         F.struct(F.lit("persistence").alias("model_uri"), F.col("close").alias("predicted_close")),
         F.struct(F.lit("ma7").alias("model_uri"), F.col("ma_7").alias("predicted_close")),

@@ -16,7 +16,8 @@ KEYS = ["symbol"]
 
 
 def scored(spark, sf):
-    return predictions_with_actuals(base.predictions(spark, sf), base.bars(spark, sf), KEYS)
+    raw, _, predictions = base.stored_tables(spark, sf)
+    return predictions_with_actuals(predictions, raw, KEYS)
 
 
 @query(
@@ -132,8 +133,9 @@ def direction_c(spark, sf):
       (SELECT {sql_r6('avg(CASE WHEN a = p THEN 1.0 ELSE 0.0 END)')} FROM moves WHERE a IS NOT NULL AND p IS NOT NULL) AS direction_accuracy FROM valid""",
 )
 def performance_recent(spark, sf):
+    raw, _, predictions = base.stored_tables(spark, sf)
     facts = monitor.performance_facts(
-        base.predictions(spark, sf), base.bars(spark, sf), KEYS, min_valid=1.0, series=["symbol", "model_uri"]
+        predictions, raw, KEYS, min_valid=1.0, series=["symbol", "model_uri"]
     )
     return rounded(facts)
 

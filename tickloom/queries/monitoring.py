@@ -34,9 +34,8 @@ _AGE = "(epoch_us({a}) - epoch_us({b})) / 3600000000.0"
 )
 def health_metrics(spark, sf):
     """With the warm-up gap of five series allowed for."""
-    out = monitor.health_metrics(
-        base.bars(spark, sf), base.features(spark, sf), base.predictions(spark, sf), base.newest_event(spark, sf), KEYS, warmup_rows=5 * 24
-    )
+    raw, rows, predictions = base.stored_tables(spark, sf)
+    out = monitor.health_metrics(raw, rows, predictions, base.newest_event(spark, sf), KEYS, warmup_rows=5 * 24)
     return rounded(out.select("metric_time", "metric_name", "metric_value", "status"))
 
 
@@ -61,8 +60,9 @@ facts AS (SELECT count(*) AS n, sqrt(avg((actual_close - predicted_close) ** 2))
     SELECT metric_name, {sql_r6('v', 'metric_value')}, status FROM rows""",
 )
 def performance_metrics(spark, sf):
+    raw, _, predictions = base.stored_tables(spark, sf)
     out = monitor.performance_metrics(
-        base.predictions(spark, sf), base.bars(spark, sf), KEYS, base.newest_event(spark, sf), min_valid=1.0, series=["symbol", "model_uri"]
+        predictions, raw, KEYS, base.newest_event(spark, sf), min_valid=1.0, series=["symbol", "model_uri"]
     )
     return rounded(out.select("metric_name", "metric_value", "status"))
 
@@ -223,9 +223,8 @@ _ALERT_INPUTS = SQL_SCORED + SQL_METRICS[len(base.SQL_BARS):]
 )
 def alerts_eval(spark, sf):
     """All alerts over the derived metrics history, features and predictions."""
-    found = alerts.alert_set(
-        base.metrics_history(spark, sf), base.features(spark, sf), base.predictions(spark, sf), base.bars(spark, sf), base.newest_event(spark, sf), KEYS
-    )
+    raw, rows, predictions = base.stored_tables(spark, sf)
+    found = alerts.alert_set(base.metrics_history(spark, sf), rows, predictions, raw, base.newest_event(spark, sf), KEYS)
     return rounded(alerts.evaluate(found))
 
 
