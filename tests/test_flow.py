@@ -5,6 +5,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from tickloom.operators.govern import replay_checks
+from tickloom.operators.indicators import drop_warmup, full_features
 from tickloom.plans import flow
 from tickloom.sources.landing import write_landing
 from tickloom.streaming.ingest import IngestPaths
@@ -37,6 +38,13 @@ def test_hourly_drift_and_training_runs(spark, tmp_path, hours):
     assert tables.features.read().count() == 302 - 24
     made = {r.feature_open_time: (r.predicted_close, r.features_table_version) for r in tables.predictions.read().collect()}
     assert len(made) == 3 and made[hours(301)][1] == 2
+    # Incremental builds touched the newest days only and equal a rebuild of everything.
+    written = {r.version: r.days_written for r in tables.features.versions().collect()}
+    assert written[0] == 12 and written[1] <= 2 and written[2] <= 2
+    rebuilt = drop_warmup(full_features(tables.raw.read()))
+    held = tables.features.read().select(rebuilt.columns)
+    assert held.count() == rebuilt.count() and held.exceptAll(rebuilt).count() == 0
+    assert flow.refresh_features(tables) == 2  # nothing new
 
     decision = flow.drift_check(tables, hours(302)).first()
     assert decision.trigger_mode == "drift" and decision.features_table_version == 2

@@ -66,6 +66,14 @@ def test_blocks_really_split_the_hot_series(spark, hours):
     assert {r._block for r in blocks.where("symbol = 'rare'").collect()} == {0}  # short series stay whole
 
 
+def test_features_since_equal_the_filtered_whole(spark, hours):
+    df = gappy_bars(spark, hours, n=600, seed=9).cache()
+    start = hours(450)
+    whole = ind.full_features(df, plan=None).where(F.col("open_time") >= F.lit(start).cast("timestamp_ntz"))
+    part = ind.features_since(df, F.lit(start).cast("timestamp_ntz"))
+    assert collect(part) == collect(whole)
+
+
 def test_short_series_need_no_blocks(spark, hours):
     df = gappy_bars(spark, hours, n=50)
     plan = ind.full_features(df)._jdf.queryExecution().executedPlan().toString()

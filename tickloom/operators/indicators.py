@@ -15,7 +15,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.operators.dedup import one_per_key
-from tickloom.operators.windows import BlockPlan, SeriesWindow, over_series
+from tickloom.operators.windows import BlockPlan, SeriesWindow, last_rows, over_series
 
 # Default parameters and the columns a feature row must have (fixed values).
 LAGS = (1, 2, 4, 12, 24)
@@ -217,6 +217,21 @@ def full_features(
     return over_series(bars, keys, TIME, build, plan)
 
 
+def features_since(
+    bars: DataFrame, start, keys: list[str] | None = None, plan: BlockPlan | None = FULL_PLAN
+) -> DataFrame:
+    """:func:`full_features` of the bars from ``start`` on, without computing the rest.
+
+    Each series brings the rows its longest frame can reach before ``start``; chained frames reach
+    less far, so the result equals the full computation filtered to ``start``.
+    """
+    keys = KEYS if keys is None else keys
+    start = start if isinstance(start, Column) else F.lit(start)
+    context = last_rows(bars.where(F.col(TIME) < start), keys, TIME, FULL_LOOKBACK)
+    fresh = bars.where(F.col(TIME) >= start)
+    return full_features(context.unionByName(fresh), keys, plan).where(F.col(TIME) >= start)
+
+
 def drop_warmup(features: DataFrame, required=WARMUP_COLUMNS) -> DataFrame:
     """Rows whose look-back columns are all known. The longest needed lag decides: 24 rows per series."""
     return features.dropna(subset=list(required))

@@ -168,6 +168,13 @@ def over_series(
     return built.where(~F.col(_COPY)).drop(_BLOCK, _COPY)
 
 
+def last_rows(df: DataFrame, keys: list[str], time: str, rows: int) -> DataFrame:
+    """The newest ``rows`` rows of each series. The limit also applies before the shuffle, so a task
+    sends at most ``rows`` rows per series however long the series is."""
+    newest_first = Window.partitionBy(*keys).orderBy(F.col(time).desc())
+    return df.withColumn("_n", F.row_number().over(newest_first)).where(F.col("_n") <= rows).drop("_n")
+
+
 def row_index(
     df: DataFrame,
     order: list[str],

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.operators.govern import dataset_manifest
-from tickloom.operators.indicators import KEYS, TIME, drop_warmup, full_features
+from tickloom.operators.indicators import HORIZON, KEYS, TIME, drop_warmup, features_since, full_features
 from tickloom.operators.predict import score_latest
 from tickloom.operators.quality import require_rows
 from tickloom.operators.split import complete_rows, temporal_split
@@ -55,11 +55,32 @@ class Tables:
         return self.spark.read.parquet(f"{self.root.rstrip('/')}/{name}")
 
 
-def refresh_features(tables: Tables, keys: list[str] | None = None) -> int:
-    """Rebuild features from the newest raw bars and merge them; new columns join the table."""
+_BUILDS = "features_version BIGINT, raw_version BIGINT"
+
+
+def refresh_features(tables: Tables, keys: list[str] | None = None, full: bool = False) -> int:
+    """Merge the feature rows that newer raw versions can change; new columns join the table.
+
+    Starts one horizon before the earliest raw day written since the last build (its last row gets
+    its target now), so an hourly run touches a day or two and not the history. ``full`` rebuilds all.
+    """
     keys = KEYS if keys is None else keys
-    rows = drop_warmup(full_features(tables.raw.read(), keys))
-    return tables.features.upsert(rows, [*keys, TIME], unique=True)
+    built = None
+    if tables.features.exists() and not full:
+        built = tables.log("feature_builds").agg(F.max("raw_version")).first()[0]
+    raw_version = tables.raw.latest_version()
+    if built == raw_version:
+        return tables.features.latest_version()
+    raw = tables.raw.read(raw_version)
+    day = tables.raw.first_day_after(built) if built is not None else None
+    if day is None or day == "unknown":
+        rows = full_features(raw, keys)
+    else:
+        start = F.to_timestamp(F.lit(day)) - F.lit(HORIZON)
+        rows = features_since(raw, start.cast(raw.schema[TIME].dataType), keys)
+    version = tables.features.upsert(drop_warmup(rows), [*keys, TIME], unique=True)
+    tables.append("feature_builds", tables.spark.createDataFrame([(version, raw_version)], _BUILDS))
+    return version
 
 
 def record_predictions(

@@ -11,6 +11,7 @@ from tickloom.operators.bars import calendar_totals
 from tickloom.operators.windows import BlockPlan, over_series, row_index
 from tickloom.queries import base
 from tickloom.queries.base import SQL_BARS, SQL_FEATURES, SQL_USER_BARS, query, rounded, sql_features, sql_rounded
+from tickloom.session import checkpointed
 
 BAR_COLUMNS = ["symbol", "open_time", "close_time", "open", "high", "low", "close", "volume", "quote_volume", "trades"]
 _BAR_SQL = "symbol, open_time, close_time, trades, " + sql_rounded("open high low close volume quote_volume")
@@ -116,6 +117,18 @@ def blocked_window_features(spark, sf):
     return rounded(ind.full_features(base.bars(spark, sf), plan=plan).select("symbol", "open_time", *FULL.split()))
 
 
+@query(
+    "features_since",
+    f"""WITH {SQL_BARS}, {sql_features()} SELECT symbol, open_time, {sql_rounded(FULL)} FROM all_features
+    WHERE open_time >= (SELECT max(open_time) FROM bars) - INTERVAL 72 HOUR""",
+)
+def features_since(spark, sf):
+    """Only the newest three days, as an hourly run computes them."""
+    bars = checkpointed(base.bars(spark, sf))
+    start = bars.agg(F.max("open_time")).scalar() - F.expr("INTERVAL 72 HOURS")
+    return rounded(ind.features_since(bars, start).select("symbol", "open_time", *FULL.split()))
+
+
 @query(
     "warmup_report",
     f"""WITH {SQL_FEATURES} SELECT (SELECT count(*) FROM all_features) AS rows_before, (SELECT count(*) FROM features) AS rows_after,

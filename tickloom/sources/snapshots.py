@@ -49,6 +49,11 @@ class SnapshotTable:
             F.max("committed_at").alias("committed_at"), F.count("*").alias("days_written")
         )
 
+    def first_day_after(self, version: int | None) -> str | None:
+        """The earliest day written by any version newer than the given one."""
+        newer = self.index() if version is None else self.index().where(F.col("version") > version)
+        return newer.agg(F.min("day")).first()[0]
+
     # -- reading ----------------------------------------------------------------------------
 
     def _folders(self, version: int) -> list[str]:
