@@ -124,10 +124,11 @@ def health_metrics(
     return metric_rows(facts, metrics, as_of, versions)
 
 
-def _score_metrics(prefix: Column | str, psi_alert: Column | float, ks_alert: Column | float, message: str):
+def _score_metrics(prefix: Column | str, psi_alert: Column | float, ks_alert: Column | float, message: Column | str):
     """PSI and KS rows of a (feature, psi, ks) table."""
-    name = lambda kind: F.concat(prefix if isinstance(prefix, Column) else F.lit(prefix), F.lit(f"_{kind}_"), "feature")
-    enough = F.when(F.col("psi").isNull(), F.lit("Insufficient rows")).otherwise(F.lit(message))
+    as_col = lambda x: x if isinstance(x, Column) else F.lit(x)
+    name = lambda kind: F.concat(as_col(prefix), F.lit(f"_{kind}_"), "feature")
+    enough = F.when(F.col("psi").isNull(), F.lit("Insufficient rows")).otherwise(as_col(message))
     return [
         Metric(name("psi"), F.col("psi"), threshold_status(F.col("psi"), PSI_LIMITS[0], psi_alert), enough),
         Metric(name("ks"), F.col("ks"), threshold_status(F.col("ks"), KS_LIMITS[0], ks_alert), enough),
@@ -184,21 +185,20 @@ def feature_drift_metrics(
         # whose left side has one row per column.
         names = rows.sparkSession.createDataFrame([(c,) for c in [*there, *seen]], "feature STRING")
         scored = names.join(drift_scores(windows, [*there, *seen]), "feature", "left")
-        text = f"reference_hours={reference_hours}; recent_hours={recent_hours}"
         may_alert = F.col("feature").isin(*there) if there else F.lit(False)
-        out = out.unionByName(
-            metric_rows(scored.where(may_alert), _score_metrics("data_drift", PSI_LIMITS[1], KS_LIMITS[1], text), metric_time, versions)
+        prefix = (
+            F.when(may_alert, "data_drift")
+            .when(F.col("feature").isin(*LABEL_COLUMNS), "label_drift")
+            .otherwise("price_level_drift")
         )
-        prefix = F.when(F.col("feature").isin(*LABEL_COLUMNS), "label_drift").otherwise("price_level_drift")
-        watch_text = "Monitor-only price/label level drift; not a retrain trigger"
-        out = out.unionByName(
-            metric_rows(
-                scored.where(~may_alert & F.col("psi").isNotNull()),
-                _score_metrics(prefix, MONITOR_ONLY_ALERT, MONITOR_ONLY_ALERT, watch_text),
-                metric_time,
-                versions,
-            )
+        limit = lambda alert: F.when(may_alert, alert).otherwise(MONITOR_ONLY_ALERT)
+        text = F.when(may_alert, f"reference_hours={reference_hours}; recent_hours={recent_hours}").otherwise(
+            "Monitor-only price/label level drift; not a retrain trigger"
         )
+        # A watched column without values is left out; one that may alert is reported as unknown.
+        kept = scored.where(may_alert | F.col("psi").isNotNull())
+        metrics = _score_metrics(prefix, limit(PSI_LIMITS[1]), limit(KS_LIMITS[1]), text)
+        out = out.unionByName(metric_rows(kept, metrics, metric_time, versions))
     return out
 
 
