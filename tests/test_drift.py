@@ -92,3 +92,11 @@ def test_mutual_information_of_a_copy_is_the_bin_entropy(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("x"), F.col("id").cast("double").alias("y"), F.lit(1.0).alias("c"))
     got = {r.feature: r.mi for r in stats.mutual_information(df, ["x", "c"], "y").collect()}
     assert got["x"] == pytest.approx(math.log(10), abs=0.02) and got["c"] == pytest.approx(0, abs=1e-12)
+
+
+def test_correlation_pairs(spark):
+    df = spark.range(200).select(F.rand(1).alias("a"), F.rand(2).alias("b"), F.lit(1.0).alias("c")).withColumn("d", F.col("a") * 2 + F.col("b")).cache()
+    got = {(r.feature_1, r.feature_2): r.correlation for r in stats.correlation_pairs(df, ["a", "b", "c", "d"]).collect()}
+    expected = {(x, y): df.agg(F.corr(x, y)).first()[0] for x, y in (("a", "b"), ("a", "d"), ("b", "d"))}
+    assert got == pytest.approx(expected)  # the constant column has no pairs
+    assert stats.correlation_pairs(df, ["a", "d"], 0.99).count() == 0

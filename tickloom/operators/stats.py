@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.operators.drift import bucket_of, cut_points, to_long
@@ -16,18 +19,21 @@ MI_THRESHOLD = 0.001
 def correlation_pairs(df: DataFrame, columns: list[str], threshold: float = 0.0) -> DataFrame:
     """(feature_1, feature_2, correlation, abs_correlation) for every pair at or above the threshold.
 
-    All pairs come from one aggregate: each task sends a few moments per pair, never rows.
+    Over rows where all columns are known. The executors reduce the rows to one columns x columns
+    matrix, and only that matrix reaches the driver. A constant column has no correlation and so no
+    pairs.
     """
-    cells = ", ".join(
-        f"named_struct('feature_1', '{a}', 'feature_2', '{b}', "
-        f"'correlation', corr(CAST(`{a}` AS DOUBLE), CAST(`{b}` AS DOUBLE)))"
-        for a, b in combinations(columns, 2)
-    )
-    table = df.agg(F.expr(f"array({cells})").alias("pairs")).select(F.inline("pairs"))
+    ready = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(ready).select("v")
+    matrix = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
+    rows = [
+        (a, b, float(matrix[i, j]))
+        for (i, a), (j, b) in combinations(enumerate(columns), 2)
+        if not math.isnan(matrix[i, j])
+    ]
+    table = df.sparkSession.createDataFrame(rows, "feature_1 STRING, feature_2 STRING, correlation DOUBLE")
     size = F.abs("correlation")
-    return table.where(size >= threshold).select(
-        "feature_1", "feature_2", "correlation", size.alias("abs_correlation")
-    )
+    return table.where(size >= threshold).withColumn("abs_correlation", size)
 
 
 def mutual_information(
