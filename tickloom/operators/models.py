@@ -17,7 +17,7 @@ from tickloom.operators.windows import stored_row_index
 from tickloom.schemas import EXPLANATIONS, conform
 from tickloom.session import checkpointed
 
-SEED = 42  # fixed value, as in every reference fit
+SEED = 42  # fixed value
 
 # Search ranges by algorithm: name -> (kind, low, high) (fixed values; tree counts and depths are
 # those of the boosted and bagged trees that MLlib offers).
