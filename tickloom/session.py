@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -33,17 +35,26 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     return builder.getOrCreate()
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temp folder only where that is unset.
+    """The folder named in ``spark.checkpoint.dir``, which every executor can reach.
 
-    On a cluster the setting names storage every executor can reach, so a lost executor costs a
-    re-read rather than a re-run. The temp-folder branch exists for unit tests.
+    Only a local session, whose executor is the driver, may leave it unset: it then gets a folder of
+    its own, removed when the process ends. On a cluster an unset folder is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tickloom-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _LOCAL_FOLDERS:
+        folder = tempfile.mkdtemp(prefix="tickloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _LOCAL_FOLDERS[context.applicationId] = folder
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -52,6 +63,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     Cuts the lineage like ``DataFrame.checkpoint`` and, being parquet, keeps column pruning and filter
     pushdown for the passes that follow.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/tickloom/{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/tickloom/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
