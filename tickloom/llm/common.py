@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -10,6 +11,12 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.session import checkpointed as stored  # noqa: F401  (written to the shared folder, read back)
+from tickloom.session import shared_folder
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own in the shared folder, not made yet."""
+    return f"{shared_folder(spark)}/tickloom/{uuid.uuid4().hex}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

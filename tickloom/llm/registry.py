@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe
-from tickloom.llm.common import table
+from tickloom.llm import bpe, token_blocks
+from tickloom.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,13 @@ BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 def op6_bpe(spark, sf):
     coded = bpe.round_trip(table(spark, sf, "documents"), BPE_RANKS, public_tokenizers.PATTERN)
     return bpe.digests(coded)
+
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op9_token_blocks")
+def op9_token_blocks(spark, sf):
+    folder = new_folder(spark)
+    token_blocks.write(table(spark, sf, "documents"), folder, WORD_BPE, end_id=2)
+    return token_blocks.digests(token_blocks.read(spark, folder))
