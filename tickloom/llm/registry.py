@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, token_blocks
+from tickloom.llm import bpe, simhash, token_blocks
 from tickloom.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,10 @@ def op9_token_blocks(spark, sf):
     folder = new_folder(spark)
     token_blocks.write(table(spark, sf, "documents"), folder, WORD_BPE, end_id=2)
     return token_blocks.digests(token_blocks.read(spark, folder))
+
+
+@query("op5_simhash")
+def op5_simhash(spark, sf):
+    found = simhash.groups(table(spark, sf, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
