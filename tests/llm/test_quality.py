@@ -1,0 +1,56 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from tickloom.llm import quality
+from tickloom.llm.registry import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+
+
+def test_held_out_accuracy(spark, tables):
+    docs, labels = tables
+    rows = QUERIES["op8_quality"](spark, SF).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    held = [(r.score, truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
+    good, bad = [s for s, q in held if q], [s for s, q in held if not q]
+    assert np.mean([[g > b for b in bad] for g in good]) > 0.95
+    assert np.mean([(s >= 0.3) == q for s, q in held]) > 0.9
+
+
+def test_labels_of_held_out_rows_are_not_used(tables):
+    docs, labels = tables
+    flipped = labels.selectExpr("doc_id", "if(pmod(crc32(cast(doc_id as string)), 5) = 0, 1 - quality, quality) quality")
+    assert quality.fit(docs, labels) == quality.fit(docs, flipped)
+
+
+def test_awkward_rows(spark, awkward, no_rows, tables):
+    model = quality.fit(*tables)
+    got = quality.score(awkward, model).collect()
+    assert len(got) == awkward.count() and all(0 <= r.score <= 1 for r in got)
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r.doc_id, set()).add(r.score)
+    assert by_id[2] == by_id[3] and by_id[1] == by_id[9] and all(len(s) == 1 for s in by_id.values())
+    assert quality.score(no_rows, model).count() == 0
+    kept = quality.keep_good(awkward, model)
+    assert kept.schema == awkward.schema
+    assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(str(r.doc_id) for r in got if r.score >= 0.3)
+
+
+def test_little_to_learn_from(spark, awkward, no_rows):
+    labels = spark.createDataFrame([(1, 1), (9, 0), (9, 1), (None, 1), (5, 7), (6, None)], "doc_id bigint, quality int")
+    for docs in (awkward, no_rows):
+        for some in (labels, labels.limit(0)):
+            model = quality.fit(docs, some)
+            assert all(0 <= r.score <= 1 for r in quality.score(awkward, model).collect())
+    two = spark.createDataFrame([(i, i % 2) for i in (1, 2, 4, 5, 6, 7, 8, 10, 11)], "doc_id bigint, quality int")
+    assert all(0 <= r.score <= 1 for r in quality.score(awkward, quality.fit(awkward, two)).collect())

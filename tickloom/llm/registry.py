@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, simhash, token_blocks
+from tickloom.llm import bpe, quality, simhash, token_blocks
 from tickloom.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,11 @@ def op5_simhash(spark, sf):
     found = simhash.groups(table(spark, sf, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op8_quality")
+def op8_quality(spark, sf):
+    docs = table(spark, sf, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf, "labels")))
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
