@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, quality, simhash, token_blocks
+from tickloom.llm import bpe, decontaminate, quality, simhash, token_blocks
 from tickloom.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,9 @@ def op8_quality(spark, sf):
     scored = quality.score(docs, quality.fit(docs, table(spark, sf, "labels")))
     predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query("op2_decontaminate", decontaminate.sql())
+def op2_decontaminate(spark, sf):
+    found = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return decontaminate.digests(found)
