@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, decontaminate, quality, simhash, token_blocks
+from tickloom.llm import bpe, decontaminate, order_minhash, quality, simhash, token_blocks
 from tickloom.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op8_quality(spark, sf):
 def op2_decontaminate(spark, sf):
     found = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return decontaminate.digests(found)
+
+
+@query("op7_order_minhash")
+def op7_order_minhash(spark, sf):
+    return order_minhash.digests(order_minhash.compare(table(spark, sf, "documents")))
