@@ -1,24 +1,48 @@
-"""Filter, de-duplicate, decontaminate and encode a corpus: the training-data operators in a row."""
+"""Filter, de-duplicate, decontaminate and encode a corpus: four training-data operators in a row.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept. All but the last
+return the columns of their input, whatever they are; ids may be NULL or repeated.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe
+from tickloom.llm import bpe, decontaminate, quality, simhash
 from tickloom.llm.common import stored, table
 from tickloom.llm.registry import BPE_RANKS
 
 
-def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids, their counts and digests, and the digest of the decoded text."""
+def keep_good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose quality score reaches the threshold. The model is fitted on labelled rows of ``docs``."""
+    return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints: the one with the smallest id."""
+    return simhash.deduplicate(docs)
+
+
+def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without any window of a test item."""
+    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, number and digest of the token ids, digest of the decoded text, and the ids."""
     coded = bpe.round_trip(docs, BPE_RANKS, public_tokenizers.PATTERN)
-    return bpe.digests(coded)
+    return bpe.digests(coded, "ids")
 
 
-STAGES = [("byte_bpe", encode_texts)]
+STAGES = [
+    ("quality", keep_good_text),
+    ("simhash", drop_near_copies),
+    ("decontaminate", drop_benchmark_text),
+    ("byte_bpe", encode_text),
+]
 
-# Training a classifier and encoding by ranks cannot be stated in SQL.
+# A trained classifier and encoding by ranks cannot be stated in SQL.
 ORACLE_SQL = None
 
 

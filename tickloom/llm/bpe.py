@@ -314,11 +314,12 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return texts(docs).mapInArrow(both, DECODED)
 
 
-def digests(coded: DataFrame) -> DataFrame:
-    """Counts and digests of ids and decoded bytes, one row per document."""
+def digests(coded: DataFrame, *more: str) -> DataFrame:
+    """Counts and digests of ids and decoded bytes, one row per document, and columns of ``coded``."""
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
