@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, decontaminate, order_minhash, quality, simhash, token_blocks
+from tickloom.llm import bpe, chat, decontaminate, order_minhash, quality, simhash, token_blocks
 from tickloom.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,14 @@ def op2_decontaminate(spark, sf):
 @query("op7_order_minhash")
 def op7_order_minhash(spark, sf):
     return order_minhash.digests(order_minhash.compare(table(spark, sf, "documents")))
+
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op3_chat")
+def op3_chat(spark, sf):
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.round_trip(rows.unionByName(more), BYTE_BPE)
