@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, chat, decontaminate, order_minhash, quality, simhash, token_blocks
+from tickloom.llm import bpe, chat, decontaminate, licenses, order_minhash, quality, simhash, token_blocks, urls, warc
 from tickloom.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,31 @@ def op3_chat(spark, sf):
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     return chat.round_trip(rows.unionByName(more), BYTE_BPE)
+
+
+# The pages carry no date of their own.
+FETCHED = "1970-01-01T00:00:00Z"
+
+
+@query("op10_warc", warc.sql(FETCHED))
+def op10_warc(spark, sf):
+    return warc.derive(warc.responses(table(spark, sf, "pages"), FETCHED), "page_id")
+
+
+@query("op1_licenses", licenses.sql())
+def op1_licenses(spark, sf):
+    return licenses.digests(licenses.scan(table(spark, sf, "documents")))
+
+
+URL_RULES = [
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+]
+
+
+@query("op4_urls")
+def op4_urls(spark, sf):
+    return urls.judge(table(spark, sf, "pages"), URL_RULES)
