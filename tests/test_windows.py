@@ -80,18 +80,41 @@ def test_short_series_need_no_blocks(spark, hours):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
-def test_overfull_bucket_is_an_error(spark, hours):
+@pytest.mark.parametrize("ahead", [timedelta(hours=1), timedelta(days=3)])
+@pytest.mark.parametrize("bucket", [timedelta(days=400), timedelta(days=7)])
+def test_full_buckets_are_narrowed(spark, hours, ahead, bucket):
     df = gappy_bars(spark, hours)
+    plan = BlockPlan(10, ahead, bucket, 60, split_above=0)
+    build = lambda rows, w: rows.select("*", w_sum(w, 10), w.at_offset("close", ahead).alias("target"))
+    w_sum = lambda w, n: F.sum("close").over(w.trailing(n)).alias("total")
+    plain, cut = (over_series(df, ["symbol"], "open_time", build, p) for p in (None, plan))
+    assert collect(cut) == collect(plain)
+    sizes = assign_blocks(df, ["symbol"], "open_time", plan).where("not _copy").groupBy("symbol", "_block").count()
+    assert sizes.agg(F.max("count")).first()[0] < 120
+
+
+def test_one_crowded_microsecond_makes_larger_blocks(spark, hours):
+    rows = [("hot", hours(n // 90), float(n)) for n in range(450)]
+    df = spark.createDataFrame(rows, "symbol string, open_time timestamp_ntz, close double")
     plan = BlockPlan(10, None, timedelta(days=7), 60, split_above=0)
-    with pytest.raises(Exception, match="narrow the bucket"):
-        assign_blocks(df, ["symbol"], "open_time", plan).count()
+    blocks = assign_blocks(df, ["symbol"], "open_time", plan)
+    assert blocks.where("not _copy").count() == 450
+    counts = {(r._block, r._copy): r["count"] for r in blocks.groupBy("_block", "_copy").count().collect()}
+    assert len({b for b, _ in counts}) > 1 and all(n >= 10 for (_, copy), n in counts.items() if not copy)
+
+
+def test_dense_series_of_over_a_million_rows(spark):
+    """One row a second, above the default limit: cut, and equal to the plain window."""
+    seconds = spark.range(1_100_000).select(F.lit("x").alias("symbol"), F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("open_time"), (F.col("id") % 97).cast("double").alias("close"))
+    build = lambda rows, w: rows.select("open_time", F.sum("close").over(w.trailing(168)).alias("total"), w.at_offset("close", timedelta(hours=1)).alias("target"))
+    plain, cut = (over_series(seconds, ["symbol"], "open_time", build, p) for p in (None, BlockPlan(168, timedelta(hours=1))))
+    digest = F.sum(F.xxhash64("open_time", "total", "target").cast("decimal(38,0)"))
+    assert plain.agg(digest, F.count("*")).first() == cut.agg(digest, F.count("*")).first()
 
 
 def test_bad_plans_are_refused():
     with pytest.raises(ValueError):
         BlockPlan(lookback=168, block_rows=168)
-    with pytest.raises(ValueError):
-        BlockPlan(lookback=1, ahead=timedelta(days=8))
 
 
 @pytest.mark.parametrize("index", [row_index, stored_row_index])

@@ -3,19 +3,19 @@
 A window partitioned by series alone puts a whole series into one task. That is fine for short
 series, so series are counted first; only those with more than ``split_above`` rows are cut into
 blocks of about ``block_rows`` rows. The rows a block needs from its predecessor (``lookback``) and,
-for exact-horizon targets, from its successor (``ahead``) are copied into it, the window runs by
+for exact-horizon targets, from later blocks (``ahead``) are copied into it, the window runs by
 (series, block), and the copies are dropped. The result equals the plain window.
 
 The cut needs no global sort. A small table counts rows per (long series, calendar bucket); its
 running sum gives each bucket the index of its first row, and ``index div block_rows`` is the block.
-That table has at most (time span / bucket width) rows per series whatever the data volume, so its
-own window is bounded by the calendar.
+Buckets are narrowed until each holds few enough rows, so dense series are cut as well as sparse
+ones; where even one microsecond holds more, blocks are made larger.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import timedelta
 from functools import cached_property
 
@@ -31,19 +31,19 @@ def _micros(time: str) -> Column:
     return F.unix_micros(F.col(time).cast("timestamp"))
 
 
-def _bucket(time: str, width: timedelta) -> Column:
-    """Start of the calendar bucket in microseconds. Never NULL, so that joining on it does not add a
-    not-null test of the whole expression to every scanned row."""
-    at = _micros(time)
+def _bucket(time: str, width: timedelta, before: timedelta = timedelta()) -> Column:
+    """Start, in microseconds, of the calendar bucket of the time (or of a time ``before`` it). Never NULL,
+    so that joining on it does not add a not-null test of the whole expression to every scanned row."""
+    at = _micros(time) - before // _MICROSECOND
     return F.coalesce(at - F.pmod(at, F.lit(width // _MICROSECOND)), F.lit(-(1 << 62)))
 
 
 @dataclass(frozen=True)
 class BlockPlan:
-    """How a series is cut. Buckets must hold at most ``block_rows - lookback`` rows each."""
+    """How a series is cut. ``bucket`` is where narrowing starts, see :func:`fitted`."""
 
     lookback: int
-    ahead: timedelta | None = None  # must not exceed the bucket width
+    ahead: timedelta | None = None
     bucket: timedelta = timedelta(days=7)
     block_rows: int = 65_536
     split_above: int = 1_000_000  # series up to this many rows stay whole; 0 cuts every series
@@ -51,8 +51,6 @@ class BlockPlan:
     def __post_init__(self):
         if self.block_rows <= self.lookback:
             raise ValueError(f"block_rows={self.block_rows} must exceed lookback={self.lookback}")
-        if self.ahead is not None and self.ahead > self.bucket:
-            raise ValueError(f"ahead={self.ahead} must not exceed bucket={self.bucket}")
 
     @property
     def bucket_cap(self) -> int:
@@ -66,56 +64,59 @@ def _bucket_starts(df: DataFrame, keys: list[str], time: str, width: timedelta)
     return counts.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
 
 
-# Rows of the block table that may be broadcast; beyond it the join shuffles.
-_BROADCAST_ROWS = 500_000
-
-
 def long_series(df: DataFrame, keys: list[str], plan: BlockPlan) -> DataFrame:
     """Keys of the series to cut: at most (all rows / split_above) of them."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
     return counts.where(F.col("_rows") > plan.split_above).select(*keys)
 
 
+def fitted(rows: DataFrame, keys: list[str], time: str, plan: BlockPlan) -> BlockPlan:
+    """The plan with buckets narrow enough for ``rows``: none holds more than ``block_rows - lookback`` rows.
+
+    Every try counts rows per bucket, which combines on the map side; three or four are enough for one
+    row a second. Rows of one microsecond cannot be told apart by time, so they set the least block.
+    """
+    while True:
+        fullest = _bucket_starts(rows, keys, time, plan.bucket).agg(F.max("_rows")).first()[0] or 0
+        if fullest <= plan.bucket_cap:
+            return plan
+        if plan.bucket <= _MICROSECOND:
+            return replace(plan, block_rows=fullest + plan.lookback)
+        # Half as much again as an even spread would need.
+        narrower = plan.bucket * plan.bucket_cap // (fullest * 2)
+        plan = replace(plan, bucket=max(_MICROSECOND, min(narrower, plan.bucket // 2)))
+
+
 def assign_blocks(df: DataFrame, keys: list[str], time: str, plan: BlockPlan) -> DataFrame:
     """Add the block number and emit the copies; ``_copy`` marks rows to drop after the window.
 
     With at most ``block_rows - lookback`` rows per bucket every block but the last holds at least
-    ``lookback`` rows, so copies only ever go to the neighbouring block. A fuller bucket is an error,
-    not a silently wrong frame: choose a narrower bucket or larger blocks. Series that stay whole
-    (and rows without a key) are block 0.
+    ``lookback`` rows, so copies for trailing frames only ever go to the next block. A row that may be a
+    target goes to the block that holds the time ``ahead`` before it. Series that stay whole (and rows
+    without a key) are block 0.
     """
-    size = plan.block_rows
     rows = df.select(*keys, time).join(long_series(df, keys, plan), keys, "left_semi")
-    starts = _bucket_starts(rows, keys, time, plan.bucket)
-    too_full = F.raise_error(
-        F.concat(
-            F.lit(f"a bucket of {plan.bucket} holds more than {plan.bucket_cap} rows ("),
-            F.col("_rows").cast("string"),
-            F.lit("): narrow the bucket or raise block_rows"),
-        )
-    ).cast("bigint")
+    plan = fitted(rows, keys, time, plan)
+    size = plan.block_rows
     block = F.expr(f"_start div {size}")
-    starts = starts.select(
-        *keys,
-        "_bucket",
-        F.when(F.col("_rows") > plan.bucket_cap, too_full).otherwise(block).alias(_BLOCK),
-        # Some rows may lie within `lookback` of the next block's first row.
-        (F.col("_start") + F.col("_rows") > (block + 1) * size - plan.lookback).alias("_feeds_next"),
-        # The bucket may open its block, so its first rows may be targets of the previous block.
-        ((block > 0) & (F.col("_start") - block * size < plan.bucket_cap)).alias("_may_open"),
+    starts = checkpointed(
+        _bucket_starts(rows, keys, time, plan.bucket).select(
+            *keys,
+            "_bucket",
+            block.alias(_BLOCK),
+            # Some rows may lie within `lookback` of the next block's first row.
+            (F.col("_start") + F.col("_rows") > (block + 1) * size - plan.lookback).alias("_feeds_next"),
+        )
     )
-    starts = checkpointed(starts)
-    if starts.count() <= _BROADCAST_ROWS:
-        starts = F.broadcast(starts)
     placed = df.withColumn("_bucket", _bucket(time, plan.bucket)).join(starts, [*keys, "_bucket"], "left")
     placed = placed.withColumn(_BLOCK, F.coalesce(_BLOCK, F.lit(0)))
-    home = lambda shift, copy: F.struct(
-        (F.col(_BLOCK) + shift).alias("b"), F.lit(copy).alias("c")
-    )
-    homes = [home(0, False), F.when(F.col("_feeds_next"), home(1, True))]
+    home = lambda block, copy: F.struct(block.alias("b"), F.lit(copy).alias("c"))
+    homes = [home(F.col(_BLOCK), False), F.when(F.col("_feeds_next"), home(F.col(_BLOCK) + 1, True))]
     if plan.ahead:
-        early = _micros(time) - F.col("_bucket") < plan.ahead // _MICROSECOND
-        homes.append(F.when(F.col("_may_open") & early, home(-1, True)))
+        # The bucket of the row that this one is the target of; without rows there, nobody asks.
+        asks = starts.select(*keys, F.col("_bucket").alias("_asking"), F.col(_BLOCK).alias("_asking_block"))
+        placed = placed.withColumn("_asking", _bucket(time, plan.bucket, plan.ahead)).join(asks, [*keys, "_asking"], "left")
+        homes.append(F.when(F.col("_asking_block") != F.col(_BLOCK), home(F.col("_asking_block"), True)))
     return placed.select(*df.columns, F.inline(F.array_compact(F.array(*homes))).alias(_BLOCK, _COPY))
 
 
