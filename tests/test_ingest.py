@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tickloom import schemas
 from tickloom.functions.parse import interval_hours, parse_timestamp
-from tickloom.operators.bars import closed_bars, high_water, newer_than
+from tickloom.operators.bars import build_bars, closed_bars, high_water, newer_than
 from tickloom.operators.upsert import loaded_since, retain_recent, upsert
 from tickloom.sources.jobs import read_job_runs
 from tickloom.sources.landing import (
@@ -21,7 +21,7 @@ from tickloom.sources.landing import (
     write_landing,
 )
 from tickloom.sources.snapshots import SnapshotTable, save, table_exists, union_all, version_availability
-from tickloom.streaming.ingest import BadBatch, IngestPaths, expired_batches, staged_append, start_ingest
+from tickloom.streaming.ingest import BadBatch, IngestPaths, expired_batches, merge_batch, staged_append, start_ingest
 
 KLINE = [1700000000000, "40000.0", "41000.0", "39000.0", "40500.0", "100.0", 1700003600000, "4000000.0", 1000]
 
@@ -240,3 +240,43 @@ def test_job_runs_from_json(spark, tmp_path):
     (tmp_path / "r.json").write_text(json.dumps(run) + "\n")
     row = read_job_runs(spark, str(tmp_path)).first()
     assert row.tasks[0].state.result_state == "FAILED" and row.execution_duration == 60000
+
+
+def test_ticks_of_one_microsecond_are_ordered_by_the_whole_tie(spark, hours):
+    ids = [2**31, 2**31 - 1, -5, 2**63 - 1, -(2**63), 7]
+    ticks = spark.createDataFrame([("a", hours(0), float(n), i) for n, i in enumerate(ids)], "symbol string, ts timestamp_ntz, value double, id bigint")
+    for width in (3_600_000_000, 86_400_000_000, 366 * 86_400_000_000):
+        bar = build_bars(ticks, tie="id", bar_us=width).first()
+        assert (bar.open, bar.close) == (4.0, 3.0)
+
+
+def _table_rows(hours, *closes):
+    return [("a", hours(n), c) for n, c in enumerate(closes)]
+
+
+_BARS = "symbol string, open_time timestamp_ntz, close double"
+
+
+def test_publish_stopped_before_its_index_row_is_harmless(spark, hours, tmp_path, monkeypatch):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.create(spark.createDataFrame(_table_rows(hours, 1.0, 2.0), _BARS))
+    change = spark.createDataFrame(_table_rows(hours, 9.0), _BARS)
+    with monkeypatch.context() as m:
+        m.setattr("tickloom.sources.snapshots.F.current_timestamp", lambda: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError, match="stopped"):
+            table.upsert(change, ["symbol", "open_time"])
+    assert table.latest_version() == 0
+    assert table.upsert(change, ["symbol", "open_time"]) == 1
+    assert sorted(r.close for r in table.read().collect()) == [2.0, 9.0]
+    assert sorted(r.close for r in table.read(0).collect()) == [1.0, 2.0]
+
+
+def test_replayed_batch_sets_bad_rows_aside_once(spark, hours, tmp_path):
+    rows = landing_rows(spark, 1, start=1, volume=-1.0).unionByName(landing_rows(spark, 2, start=5))
+    batch = rows.withColumns({"_loaded_at": F.lit(hours(9)), "_source_file": F.lit("f")})
+    raw, quarantine = SnapshotTable(spark, str(tmp_path / "raw")), str(tmp_path / "bad")
+    for _ in range(2):
+        merge_batch(batch, raw, quarantine, batch_id=3)
+    assert spark.read.parquet(quarantine).count() == 1
+    merge_batch(batch, raw, quarantine, batch_id=4)
+    assert spark.read.parquet(quarantine).count() == 2

@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOUR_US = 3_600_000_000
 
 
 def _tick_order(ts: str, tie: str | None, bar_us: int) -> Column:
-    """One BIGINT that orders the ticks of a bar: microsecond offset, then ``tie``.
+    """One number that orders the ticks of a bar: microsecond offset, then ``tie``.
 
     A struct would order them too, but a struct is not a fixed-width buffer, so Spark would have to
-    sort every partition before aggregating; a BIGINT keeps the hash aggregate. The low bits hold
-    ``tie`` modulo the space left (2^31 for hourly bars), which only matters for ticks of one series
-    that share a microsecond.
+    sort every partition before aggregating. A DECIMAL of 38 digits is one: it holds the offset times
+    2^64 plus any 64-bit ``tie``, for bars of up to a year and more, so the hash aggregate stays and
+    the order is exact.
     """
     if tie is None:
         return F.col(ts)
-    spare_bits = 63 - bar_us.bit_length()
     offset = F.pmod(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(bar_us))
-    return F.shiftleft(offset, spare_bits) + F.pmod(F.col(tie).cast("bigint"), F.lit(1 << spare_bits))
+    return offset.cast("decimal(17,0)") * F.lit(Decimal(1 << 64)) + F.col(tie).cast("bigint").cast("decimal(20,0)")
 
 
 def build_bars(

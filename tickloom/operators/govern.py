@@ -247,8 +247,12 @@ def selection_config(
     )
 
 
+def active_configs(configs: DataFrame) -> DataFrame:
+    """The newest active config row of every key, in one aggregate."""
+    newest = F.max_by(F.struct(*configs.columns), F.struct("created_at", "config_id"))
+    return configs.where("is_active").groupBy("config_key").agg(newest.alias("c")).select("c.*")
+
+
 def active_config(configs: DataFrame, key: str = "selected_features") -> DataFrame:
     """The newest active config row of a key."""
-    live = configs.where((F.col("config_key") == key) & F.col("is_active"))
-    newest = F.max_by(F.struct(*configs.columns), F.struct("created_at", "config_id"))
-    return live.groupBy("config_key").agg(newest.alias("c")).select("c.*")
+    return active_configs(configs.where(F.col("config_key") == key))

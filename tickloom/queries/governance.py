@@ -251,12 +251,7 @@ def active_config_lookup(spark, sf):
         F.col("o_orderpriority").alias("config_key"), F.col("o_orderkey").alias("config_id"), F.col("o_orderdate").alias("created_at"),
         (F.col("o_orderstatus") == "O").alias("is_active"),
     )
-    keys = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-    found = None
-    for key in keys:
-        row = g.active_config(configs, key).select("config_key", "config_id")
-        found = row if found is None else found.unionByName(row)
-    return found
+    return g.active_configs(configs).select("config_key", "config_id")
 
 
 @query(

@@ -50,7 +50,8 @@ def train_gbt(spark, sf):
 @query("param_search")
 def param_search(spark, sf):
     """Two sampled forests over three expanding folds (a short search; trials and folds are parameters)."""
-    rows = s.cv_blocks(model_rows(spark, sf), folds=3)
+    train, _ = _split(spark, sf)  # the test part stays unseen
+    rows = s.cv_blocks(train.drop("row_idx"), folds=3)
     trials = [{**p, "numTrees": 10, "maxDepth": min(p["maxDepth"], 5)} for p in m.sample_params("random_forest", 2)]
     return m.search(rows, COLUMNS, TARGET, "random_forest", trials, folds=3).withColumn("params", F.to_json("params"))
 
@@ -77,7 +78,7 @@ def model_explanations(spark, sf):
     """Both kinds of explanation in the explanations-table layout."""
     train, test = _split(spark, sf)
     model = _small_forest(train)
-    contributions = m.permutation_contributions(model, test.drop("row_idx"), COLUMNS, ["open_time", "symbol"], sample_rows=500)
+    contributions = m.permutation_contributions(model, test.drop("row_idx"), COLUMNS, ["open_time", "symbol"])
     versions = {"features_table_version": 2, "feature_config_id": 7}
     rows = m.explanation_rows(m.built_in_importance(model, spark, COLUMNS), contributions, "run-1", "random_forest", versions, base.newest_event(spark, sf))
     return rows.drop("created_at")

@@ -1,14 +1,16 @@
 """Versioned parquet tables for catalogs that have no transactional table format.
 
-A version is a set of day folders. Publishing writes only the days that changed and then appends one
-index row per day; readers see a version once its index rows exist. An upsert therefore rewrites the
-touched days, not the table. One writer at a time is assumed.
+A version is a set of day folders. Publishing writes only the days that changed, to a folder of its own,
+and then appends one index row per day that names the folder; readers see a version once its index rows
+exist. A stop in between leaves a folder that nobody reads, and the next attempt is not in its way. An
+upsert rewrites the touched days, not the table. One writer at a time is assumed.
 
-Layout: ``root/data/version=N/day=YYYY-MM-DD/*.parquet`` and ``root/index/*.parquet``.
+Layout: ``root/data/ATTEMPT/day=YYYY-MM-DD/*.parquet`` and ``root/index/*.parquet``.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,8 +18,9 @@ from pyspark.sql.utils import AnalysisException
 
 from tickloom.operators.dedup import duplicate_keys
 from tickloom.operators.upsert import grow_columns, upsert
+from tickloom.session import checkpointed
 
-_INDEX = "version BIGINT, day STRING, committed_at TIMESTAMP"
+_INDEX = "version BIGINT, day STRING, committed_at TIMESTAMP, folder STRING"
 
 
 class SnapshotTable:
@@ -32,7 +35,7 @@ class SnapshotTable:
     # -- metadata ---------------------------------------------------------------------------
 
     def index(self) -> DataFrame:
-        """(version, day, committed_at); empty before the first version."""
+        """(version, day, committed_at, folder); empty before the first version."""
         try:
             return self.spark.read.schema(_INDEX).parquet(f"{self.root}/index")
         except AnalysisException:
@@ -56,10 +59,10 @@ class SnapshotTable:
 
     # -- reading ----------------------------------------------------------------------------
 
-    def _folders(self, version: int) -> list[str]:
-        """Newest folder of each day at or before ``version``: one path per day, as a file listing."""
-        days = self.index().where(F.col("version") <= version).groupBy("day").agg(F.max("version").alias("v"))
-        return [f"{self.root}/data/version={r.v}/day={r.day}" for r in days.sort("day").toLocalIterator()]
+    def _paths(self, index: DataFrame) -> list[str]:
+        """Newest folder of each day of an index: one path per day, as a file listing."""
+        days = index.groupBy("day").agg(F.max_by("folder", "version").alias("folder"))
+        return [f"{self.root}/data/{r.folder}/day={r.day}" for r in days.sort("day").toLocalIterator()]
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of a version (default: newest). Columns added later read as NULL."""
@@ -67,21 +70,21 @@ class SnapshotTable:
         known = self.index().where(F.col("version") == version).limit(1).count() if version is not None else 0
         if not known:
             raise ValueError(f"version {version} of {self.root} is not available")
-        return self.spark.read.option("mergeSchema", True).parquet(*self._folders(version))
+        return self.spark.read.option("mergeSchema", True).parquet(*self._paths(self.index().where(F.col("version") <= version)))
 
     # -- writing ----------------------------------------------------------------------------
 
-    def _publish(self, df: DataFrame, days_gone: DataFrame | None = None) -> int:
+    def _publish(self, df: DataFrame) -> int:
         latest = self.latest_version()
         version = 0 if latest is None else latest + 1
-        folder = f"{self.root}/data/version={version}"
-        day = self._day()
-        # Hash by day and a few sub-buckets: a heavy day is written by several tasks.
-        salted = df.withColumn("day", day).repartition("day", F.pmod(F.hash(F.col(self.time)), F.lit(8)))
-        salted.write.mode("errorifexists").partitionBy("day").parquet(folder)
-        written = self.spark.read.parquet(folder).select(F.col("day").cast("string")).distinct()
+        folder = uuid.uuid4().hex
+        # Rebalancing sizes the tasks by data: a heavy day (or all rows without a time) is written by
+        # several, and light days share one.
+        sized = df.withColumn("day", self._day()).hint("rebalance", "day")
+        sized.write.partitionBy("day").parquet(f"{self.root}/data/{folder}")
+        written = self.spark.read.parquet(f"{self.root}/data/{folder}").select(F.col("day").cast("string")).distinct()
         rows = written.select(
-            F.lit(version).cast("bigint").alias("version"), "day", F.current_timestamp().alias("committed_at")
+            F.lit(version).cast("bigint").alias("version"), "day", F.current_timestamp().alias("committed_at"), F.lit(folder).alias("folder")
         )
         rows.coalesce(1).write.mode("append").parquet(f"{self.root}/index")
         return version
@@ -100,14 +103,12 @@ class SnapshotTable:
         """
         if self.time not in keys:
             raise ValueError(f"the key must include {self.time}")
+        # Several passes follow, so the source is evaluated once.
+        source = checkpointed(source)
         if not unique and duplicate_keys(source, keys).limit(1).count():
             raise ValueError(f"the source holds repeated keys {keys}")
-        latest = self.latest_version()
-        if latest is None:
-            return self._publish(source)
         touched = source.select(self._day().alias("day")).distinct()
-        held = self.index().groupBy("day").agg(F.max("version").alias("v")).join(touched, "day")
-        folders = [f"{self.root}/data/version={r.v}/day={r.day}" for r in held.sort("day").toLocalIterator()]
+        folders = self._paths(self.index().join(touched, "day", "left_semi"))
         if not folders:
             return self._publish(source)
         target = self.spark.read.option("mergeSchema", True).parquet(*folders)
@@ -132,11 +133,6 @@ def version_availability(required: DataFrame, available: DataFrame, min_retentio
     )
 
 
-def read_tables(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:
-    """Parquet tables of a folder by name."""
-    return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in names}
-
-
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

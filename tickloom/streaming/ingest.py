@@ -30,11 +30,12 @@ class IngestPaths:
     quarantine: str | None = None  # set it to keep good rows and set bad ones aside
 
 
-def merge_batch(batch: DataFrame, raw: SnapshotTable, quarantine: str | None = None, defaults=None) -> None:
+def merge_batch(batch: DataFrame, raw: SnapshotTable, quarantine: str | None = None, defaults=None, batch_id: int = 0) -> None:
     """Parse, check and merge one batch of landing rows.
 
     Without a quarantine folder any bad row fails the batch, counts included; with one, bad rows are
-    written there with the rules they break and the rest is merged.
+    written there with the rules they break and the rest is merged. The folder of a batch is
+    overwritten, so a replay sets the same rows aside once.
     """
     parsed = parse_landing(batch, **({"defaults": defaults} if defaults else {}))
     facts = batch_summary(parsed).first()
@@ -51,7 +52,7 @@ def merge_batch(batch: DataFrame, raw: SnapshotTable, quarantine: str | None = N
         good, rejected = split_valid(parsed)
         unparsed = F.col("open_time").isNull()
         lost = good.where(unparsed).withColumn("broken_rules", F.array(F.lit("open_time_unparseable")))
-        rejected.unionByName(lost).write.mode("append").parquet(quarantine)
+        rejected.unionByName(lost).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
         good = good.where(~unparsed)
         if good.limit(1).count() == 0:
             return
@@ -67,7 +68,7 @@ def start_ingest(spark: SparkSession, paths: IngestPaths, max_files_per_trigger:
         # merge reads it back, so the CSV files are parsed once.
         folder = f"{paths.staging}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(folder)
-        merge_batch(batch.sparkSession.read.parquet(folder), raw, paths.quarantine)
+        merge_batch(batch.sparkSession.read.parquet(folder), raw, paths.quarantine, batch_id=batch_id)
 
     query = (
         read_landing_stream(spark, paths.landing, max_files_per_trigger)
