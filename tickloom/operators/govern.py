@@ -199,14 +199,19 @@ def resolve_feature_columns(candidates: dict[str, DataFrame], allow_active: bool
 
 def selection_config(
     decided: DataFrame, config_id: int, created_at: str, source_table: str, source_version: int, target_col: str,
-    corr_threshold: float, mi_threshold: float, pairs: DataFrame | None = None,
+    corr_threshold: float, mi_threshold: float, pairs: DataFrame | None = None, candidates: list[str] | None = None, top: int = 20, top_pairs: int = 50,
 ) -> DataFrame:
-    """One config row from the per-feature decisions (a table with one row per feature)."""
+    """One config row from the per-feature decisions (a table with one row per feature).
+
+    Kept and candidate features stand in the order of ``candidates``, which is the order of a model's inputs (by
+    name without it); dropped ones by name.
+    """
     keep = F.col("decision") == "keep"
-    listed = lambda cond: F.to_json(F.sort_array(F.collect_list(F.when(cond, F.col("feature")))))
+    place = F.array_position(F.array(*map(F.lit, candidates)), F.col("feature")) if candidates else F.lit(0)
+    ordered = lambda cond, at: F.to_json(F.transform(F.sort_array(F.collect_list(F.when(cond, F.struct(at.alias("at"), "feature")))), lambda x: x["feature"]))
     by_mi = F.sort_array(F.collect_list(F.struct("mi", "feature")), asc=False)
     by_importance = F.sort_array(F.collect_list(F.struct("importance", "feature")), asc=False)
-    metrics = {"top_mi_features": F.slice(by_mi, 1, 20), "top_importance_features": F.slice(by_importance, 1, 20)}
+    metrics = {"top_mi_features": F.slice(by_mi, 1, top), "top_importance_features": F.slice(by_importance, 1, top)}
     if pairs is not None:
         strong = pairs.agg(
             F.sort_array(
@@ -219,12 +224,12 @@ def selection_config(
                 asc=False,
             )
         ).scalar()
-        metrics["high_corr_pairs"] = F.slice(strong, 1, 50)
+        metrics["high_corr_pairs"] = F.slice(strong, 1, top_pairs)
     return decided.agg(
-        listed(keep).alias("config_value"),
+        ordered(keep, place).alias("config_value"),
         F.count_if(keep).alias("n_features"),
-        listed(F.lit(True)).alias("candidate_features_json"),
-        listed(~keep).alias("dropped_features_json"),
+        ordered(F.lit(True), place).alias("candidate_features_json"),
+        ordered(~keep, F.lit(0)).alias("dropped_features_json"),
         F.to_json(F.struct(*[v.alias(k) for k, v in metrics.items()])).alias("selection_metrics_json"),
     ).select(
         F.lit("selected_features").alias("config_key"),

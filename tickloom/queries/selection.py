@@ -103,7 +103,9 @@ decided AS (SELECT feature, CASE WHEN list_contains((SELECT dropped FROM dropped
 
 def _decided(rows):
     pairs = stats.correlation_pairs(rows, COLUMNS)
-    return stats.select_features(_ranking(rows), pairs, PAIR_LIMIT, MI_LIMIT), pairs
+    # One row per column, read three times.
+    ranking = base.checkpointed(_ranking(rows))
+    return stats.select_features(ranking, pairs, PAIR_LIMIT, MI_LIMIT), pairs
 
 
 @query("feature_prune", f"WITH RECURSIVE {_PRUNE} SELECT feature, decision FROM decided")
@@ -114,11 +116,11 @@ def feature_prune(spark, sf):
 @query(
     "selection_config_row",
     f"""WITH RECURSIVE {_PRUNE} SELECT 'selected_features' AS config_key, CAST(17 AS BIGINT) AS config_id, true AS is_active, count(*) FILTER (decision = 'keep') AS n_features,
-    '["' || string_agg(feature, '","' ORDER BY feature) FILTER (decision = 'keep') || '"]' AS config_value,
+    '["' || string_agg(feature, '","' ORDER BY list_position({COLUMNS}, feature)) FILTER (decision = 'keep') || '"]' AS config_value,
     '["' || string_agg(feature, '","' ORDER BY feature) FILTER (decision <> 'keep') || '"]' AS dropped_features_json,
-    '["' || string_agg(feature, '","' ORDER BY feature) || '"]' AS candidate_features_json FROM decided""",
+    '["' || string_agg(feature, '","' ORDER BY list_position({COLUMNS}, feature)) || '"]' AS candidate_features_json FROM decided""",
 )
 def selection_config_row(spark, sf):
     decided, pairs = _decided(complete(spark, sf))
-    row = selection_config(decided, 17, "2024-02-01T00:00:00", "features", 3, TARGET, PAIR_LIMIT, MI_LIMIT, pairs)
+    row = selection_config(decided, 17, "2024-02-01T00:00:00", "features", 3, TARGET, PAIR_LIMIT, MI_LIMIT, pairs, COLUMNS)
     return row.select("config_key", "config_id", "is_active", "n_features", "config_value", "dropped_features_json", "candidate_features_json")
