@@ -120,13 +120,14 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     candidate = F.struct("item_id", "said", "begin", length.alias("length"), F.sequence(F.lit(0), F.size("said") - length).alias("offsets"), F.sequence(F.lit(0), length - 1).alias("steps"))
     asked = candidates.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(candidate).alias("asked"))
     rows = texts(docs).join(asked, F.col("doc_id").eqNullSafe(F.col("id")), "left").select("doc_id", words(F.col("text")).alias("spoken"), "asked")
-    # One word at a time: slice() would copy the whole document for every window.
+    # One word at a time: slice() would copy the whole document for every window. The words are bound to w, so
+    # that they are made once per row even where a filter on the result is pushed down to the text.
     held = F.expr("""
-        filter(transform(asked, c -> named_struct(
+        element_at(transform(array(spoken), w -> filter(transform(asked, c -> named_struct(
             'item_id', c.item_id,
             'length', c.length,
-            'starts', transform(filter(c.offsets, s -> forall(c.steps, k -> get(spoken, c.begin + s + k) = get(c.said, s + k))), s -> c.begin + s)
-        )), m -> size(m.starts) > 0)""")
+            'starts', transform(filter(c.offsets, s -> forall(c.steps, k -> get(w, c.begin + s + k) = get(c.said, s + k))), s -> c.begin + s)
+        )), m -> size(m.starts) > 0)), 1)""")
     return rows.select("doc_id", F.size("spoken").cast("bigint").alias("n_words"), held.alias("matches"))
 
 
@@ -150,8 +151,9 @@ def digests(found: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows whose id has no contaminated text."""
-    bad = contamination(docs, benchmark).where("contaminated")
-    ids = bad.select(F.col("doc_id").alias("_bad"))
+    # Stored, so that the filter reads the verdicts and is not pushed into their making.
+    verdicts = stored(contamination(docs, benchmark).select("doc_id", "contaminated"))
+    ids = verdicts.where("contaminated").select(F.col("doc_id").alias("_bad"))
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_bad"]), "left_anti")
 
 
