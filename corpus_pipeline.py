@@ -20,13 +20,13 @@ def keep_good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints: the one with the smallest id."""
+    """One row of each group of linked fingerprints: the one with the smallest id, if any has one."""
     return simhash.deduplicate(docs)
 
 
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without any window of a test item."""
-    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.remove_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

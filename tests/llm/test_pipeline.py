@@ -35,3 +35,11 @@ def test_stages_take_awkward_rows_and_keep_columns(spark, awkward, no_rows):
             assert kept.columns == docs.columns
             assert kept.count() <= docs.count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_contaminated_rows_go_alone(spark):
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 200").first().text
+    rows = [(None, "one clean text"), (None, leak), (None, "another"), (4, "clean too"), (4, leak), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = corpus_pipeline.drop_benchmark_text(spark, docs, SF)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([r for r in rows if r[1] != leak], key=str)

@@ -87,3 +87,15 @@ def test_components_of_a_long_chain(spark):
     random.Random(1).shuffle(chain)
     got = {r.node: r.label for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(201)}, 500: 500, 600: 600, 700: 600}
+
+
+def test_one_row_per_group_where_ids_are_null_or_repeated(spark):
+    rng = random.Random(5)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))
+    nameless, twice, copied = [text() for _ in range(5)], [text(), text()], text()
+    rows = [(None, t) for t in nameless + nameless[:2]] + [(1, t) for t in twice + twice[:1]] + [(None, copied), (3, copied), (1, copied), (2, copied)]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id bigint, text string, _key int").repartition(3)
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    expected = [(None, t) for t in nameless] + [(1, t) for t in [*twice, copied]]
+    assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=str) == sorted(expected, key=str)

@@ -38,11 +38,12 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def keep_ids(docs: DataFrame, keep: DataFrame, unique: bool = False) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``keep``; NULL matches NULL. ``unique``: one row per id."""
-    ids = keep.select(F.col("doc_id").alias("_keep"))
-    rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_keep"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"]) if unique else rows
+def new_column(docs: DataFrame, name: str) -> str:
+    """``name``, or something longer where ``docs`` has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def all_of(conditions: list[Column]) -> Column:

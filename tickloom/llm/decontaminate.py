@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.llm.common import keep_ids, lower_ascii, stored, texts
+from tickloom.llm.common import lower_ascii, new_column, stored, texts
 
 WINDOW = 10
 # Distinct words of all items that may be sent to every task, 16 bytes each; beyond it their join shuffles.
@@ -157,6 +157,16 @@ def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_bad"]), "left_anti")
 
 
+def remove_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows without contaminated text, whatever other rows of their id say."""
+    key = new_column(docs, "_key")
+    # Stored, so that a row keeps its number, which stands for its id here: ids may be NULL or repeated.
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()))
+    found = contamination(rows.select(F.col(key).alias("doc_id"), "text"), benchmark)
+    verdicts = stored(found.select(F.col("doc_id").alias(key), "contaminated"))
+    return rows.join(verdicts.where("contaminated"), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def sql(documents: str = "documents") -> str:
     """The same in DuckDB's SQL, comparing every window of every document."""
     cut = lambda t: f"regexp_extract_all(translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"

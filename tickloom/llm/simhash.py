@@ -17,14 +17,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import partial
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tickloom.llm.common import all_of, keep_ids, slices, stored, texts
+from tickloom.llm.common import all_of, new_column, slices, stored, texts
 from tickloom.llm.components import components
 
 DISTANCE = 4
@@ -78,6 +80,13 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), found], names=["doc_id", "fp"])
 
 
+def _with_fingerprints(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            found = pa.array([fingerprint(t or "") for t in part.column("text").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*part.columns, found], names=[*part.schema.names, name])
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fingerprint (a BIGINT holding the 64 bits) of every whole text."""
     return texts(docs).mapInArrow(_fingerprints, "doc_id bigint, fp bigint")
@@ -173,9 +182,22 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One document of each group stays: the one that names it. Rows that repeat its id go as well.
+    """Exactly one row of each group stays: the one with the smallest id, and of those the one with the smallest
+    hash of its text.
 
-    A group without any id keeps one row.
+    Rows are told apart by a number of their own, so ids may be NULL or repeated: a NULL id comes after all others,
+    and which of several rows alike in id and text stays is not specified.
     """
-    found = groups(docs)
-    return keep_ids(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), unique=True)
+    fp, key, order = (new_column(docs, name) for name in ("_fp", "_key", "_order"))
+    schema = StructType([*docs.schema.fields, StructField(fp, LongType())])
+    rows = docs.mapInArrow(partial(_with_fingerprints, name=fp), schema)
+    # Stored, so that a row keeps its number.
+    rows = stored(rows.withColumns({key: F.monotonically_increasing_id(), order: F.xxhash64(F.coalesce("text", F.lit("")))}))
+    doc_id = F.col("doc_id").cast("bigint")
+    rank = F.struct(doc_id.isNull().alias("unnamed"), doc_id.alias("doc_id"), F.col(order).alias("hash"), F.col(key).alias("key"))
+    classes = stored(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(rank).alias("first")))
+    linked = components(links(classes.select("fp")))
+    labelled = classes.join(linked, classes["fp"] == linked["node"], "left")
+    firsts = labelled.groupBy(F.coalesce("label", "fp").alias("group")).agg(F.min("first").alias("first"))
+    kept = stored(firsts.select(F.col("first.key").alias(key)))
+    return rows.join(kept, key, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
