@@ -54,3 +54,24 @@ def test_little_to_learn_from(spark, awkward, no_rows):
             assert all(0 <= r.score <= 1 for r in quality.score(awkward, model).collect())
     two = spark.createDataFrame([(i, i % 2) for i in (1, 2, 4, 5, 6, 7, 8, 10, 11)], "doc_id bigint, quality int")
     assert all(0 <= r.score <= 1 for r in quality.score(awkward, quality.fit(awkward, two)).collect())
+
+
+def test_level_does_not_depend_on_the_number_of_labels(spark, monkeypatch):
+    """Text that tells nothing: the score is the share of good labels, here 6 of 7, however many rows are sampled."""
+    monkeypatch.setattr(quality, "ROWS", 150)
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{n}" for n in rng.integers(0, 500, 60)), int(i % 7 > 0)) for i in range(3100)]
+    unseen = spark.createDataFrame(rows[2800:], "doc_id bigint, text string, quality int")
+    for n in (1400, 2800):
+        docs = spark.createDataFrame(rows[:n], "doc_id bigint, text string, quality int")
+        scores = [r.score for r in quality.score(unseen, quality.fit(docs, docs)).collect()]
+        assert abs(np.mean(scores) - 6 / 7) < 0.08
+
+
+def test_weighted_curve_is_that_of_the_rows_stood_for():
+    rng = np.random.default_rng(4)
+    x, y = np.round(rng.normal(size=400), 2), rng.integers(0, 2, 400)
+    x = x + y
+    times = np.where(y == 1, 6, 1)
+    whole = quality._curve(np.repeat(x, times), np.repeat(y, times), np.ones(times.sum()))
+    assert np.allclose(quality._curve(x, y, times.astype(float)), whole, rtol=0.1, atol=0.1)

@@ -6,8 +6,9 @@ is compressed with either. The normalised difference of the sizes, (bad - good)
 probability by a logistic curve fitted on labelled documents that the dictionaries have not seen.
 
 Fitting reads a bounded sample of labelled rows (``ROWS`` per label, in the order of a hash of their id,
-and ``PIECES`` pieces per label, likewise); scoring reads every whole text. An id with both labels is not used. A
-NULL text is empty, and an empty text gets the curve's value at no difference. With fewer than two labels to
+and ``PIECES`` pieces per label, likewise); scoring reads every whole text. The curve weighs a sampled row by the number of
+rows of its label that it stands for, so that the score is a probability under the labels' true shares at any size. An id with
+both labels is not used. A NULL text is empty, and an empty text gets the curve's value at no difference. With fewer than two labels to
 learn from, the score is the share of good labels, or 0.5 without any. Only the text is an input of the score.
 """
 
@@ -109,8 +110,8 @@ def _train(group: pa.Table) -> pa.Table:
 # -- fitting and scoring ------------------------------------------------------------------------
 
 
-def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic fit by Newton's steps, with targets pulled in from 0 and 1 so that it stays finite."""
+def _curve(x: np.ndarray, y: np.ndarray, stands_for: np.ndarray) -> tuple[float, float]:
+    """Logistic fit by Newton's steps of rows weighted by ``stands_for``, with targets pulled in from 0 and 1 so that it stays finite."""
     good = y.sum()
     target = np.where(y == 1, (good + 1) / (good + 2), 1 / (y.size - good + 2))
     scale = x.std() or 1.0
@@ -118,8 +119,8 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     weights = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ weights, -30, 30)))
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + 1e-6 * np.eye(2)
-        step = np.linalg.solve(hessian, design.T @ (target - p) - 1e-6 * weights)
+        hessian = (design * (stands_for * p * (1 - p))[:, None]).T @ design + 1e-6 * np.eye(2)
+        step = np.linalg.solve(hessian, design.T @ (stands_for * (target - p)) - 1e-6 * weights)
         weights += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
@@ -148,7 +149,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     pairs = known.where(F.col("fold") == 0).select("label", "text").mapInArrow(differ, "label int, difference double").collect()  # at most 2 * ROWS ids
     if not pairs:
         return model
-    return Model(model.bad, model.good, *_curve(np.array([r.difference for r in pairs]), np.array([r.label for r in pairs])))
+    counts = {r.label: r.n for r in ids.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows at most
+    label = np.array([r.label for r in pairs])
+    stands_for = np.array([max(counts[q] / ROWS, 1.0) for q in label.tolist()])
+    return Model(model.bad, model.good, *_curve(np.array([r.difference for r in pairs]), label, stands_for))
 
 
 def _differences(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
