@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, chat, decontaminate, licenses, order_minhash, quality, simhash, token_blocks, urls, warc
+from tickloom.llm import bpe, centroids, chat, decontaminate, licenses, order_minhash, quality, simhash, token_blocks, urls, warc
 from tickloom.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ URL_RULES = [
 @query("op4_urls")
 def op4_urls(spark, sf):
     return urls.judge(table(spark, sf, "pages"), URL_RULES)
+
+
+@query("op12_centroids", centroids.sql())
+def op12_centroids(spark, sf):
+    return centroids.clusters(table(spark, sf, "embeddings"))
