@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, centroids, chat, decontaminate, licenses, order_minhash, quality, simhash, token_blocks, urls, warc
+from tickloom.llm import bpe, centroids, chat, decontaminate, divergence, licenses, order_minhash, quality, simhash, token_blocks, urls, warc
 from tickloom.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,8 @@ def op4_urls(spark, sf):
 @query("op12_centroids", centroids.sql())
 def op12_centroids(spark, sf):
     return centroids.clusters(table(spark, sf, "embeddings"))
+
+
+@query("op11_source_divergence", divergence.sql())
+def op11_source_divergence(spark, sf):
+    return divergence.audit(table(spark, sf, "documents"))
