@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, centroids, chat, decontaminate, divergence, licenses, order_minhash, quality, simhash, token_blocks, urls, warc
+from tickloom.llm import bpe, centroids, chat, decontaminate, divergence, licenses, order_minhash, quality, secret_scan, simhash, token_blocks, urls, warc
 from tickloom.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,8 @@ def op12_centroids(spark, sf):
 @query("op11_source_divergence", divergence.sql())
 def op11_source_divergence(spark, sf):
     return divergence.audit(table(spark, sf, "documents"))
+
+
+@query("op13_secrets")
+def op13_secrets(spark, sf):
+    return secret_scan.digests(secret_scan.scan(table(spark, sf, "documents")))
