@@ -37,3 +37,23 @@ def test_bounds_lose_nothing():
             low, high = lic.bounds(a, t)
             for b in range(1, 120):
                 assert (2 * min(a, b) / (a + b) >= t - 1e-12) <= (low - 1e-9 <= b <= high + 1e-9)
+
+
+def test_anchors_lose_nothing():
+    """Words that are not anchors, in any number and order, never reach the threshold."""
+    for t in (0.5, 0.8, 0.9):
+        for text in lic.TEMPLATES.values():
+            words = lic.template_words(text)
+            rest = [w for w in words if w not in lic.anchors(text, t)]
+            assert lic.anchors(text, t) and dice(text, " ".join(rest)) < t
+            pairs = Counter(zip(words, words[1:]))
+            shared = sum(n for (a, b), n in pairs.items() if not {a, b} & lic.anchors(text, t))
+            low = lic.bounds(pairs.total(), t)[0]
+            assert 2 * shared / (pairs.total() + max(low, shared)) < t
+
+
+def test_ties_and_repeated_rows(spark):
+    rows = [(1, "Released under the MIT License."), (1, "Released under the MIT License."), (None, "x\nReleased under the MIT License."), (2, "RELEASED under THE mit license")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = lic.scan(docs, {"b": lic.TEMPLATES["MIT notice"], "a": lic.TEMPLATES["MIT notice"]}).collect()
+    assert len(found) == 4 and {(r.license, r.dice) for r in found} == {("a", 1.0)}

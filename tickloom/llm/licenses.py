@@ -5,6 +5,10 @@ reduced to lower-case words; a bigram counts as often as it stands. A template i
 sizes allow the threshold: with a and b bigrams, Dice is at most 2 min(a, b) / (a + b), so b must lie between
 a t / (2 - t) and a (2 - t) / t. That discards nearly everything before any bigram is built.
 
+Before that, whole texts and then units are ruled out unsplit: by the same bounds a unit shares at least b t / (2 - t) bigrams
+with the template, so it holds one word of any set whose words make up more than the other bigrams. Such sets of a
+template's longest words are searched as plain strings.
+
 Everything happens within a row by DataFrame functions; nothing is shuffled. A NULL text is empty and has no licence.
 Between equal coefficients the first name wins. Repeated rows get the same result; other columns are ignored.
 """
@@ -55,6 +59,19 @@ def template_bigrams(text: str) -> list[str]:
     return out
 
 
+def anchors(text: str, threshold: float) -> set[str]:
+    """Words of a template of which every unit that reaches the threshold holds one: the longest that suffice."""
+    words = template_words(text)
+    pairs = list(zip(words, words[1:]))
+    spare = len(pairs) * (1 - threshold / (2 - threshold))
+    chosen: set[str] = set()
+    for word in sorted(set(words), key=lambda w: (-len(w), w)):
+        if sum(bool(chosen & {*pair}) for pair in pairs) > spare + 1e-9:
+            break
+        chosen.add(word)
+    return chosen
+
+
 def _bigrams(words: Column) -> Column:
     """The same for an array of words; only for lists as short as a template, as occurrences are counted by comparing."""
     pairs = F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1)))
@@ -66,7 +83,11 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     prepared = {name: template_bigrams(text) for name, text in sorted(templates.items())}
     prepared = {name: grams for name, grams in prepared.items() if grams}
     text = lower_ascii(F.col("text"))
+    sought = sorted(set().union(*(anchors(t, threshold) for t in templates.values())))
+    # Lower-casing beyond A-Z may only hold more texts than needed.
+    held = lambda u: let(F.lower(u), lambda low: F.exists(F.array(*map(F.lit, sought)) if sought else F.array().cast("array<string>"), lambda a: F.contains(low, a)))
     units = F.array_distinct(F.concat(F.array(text), F.split(text, r"\n[ \t\r]*\n"), F.split(text, "\n")))
+    units = F.when(held(F.col("text")), F.filter(units, held)).otherwise(F.array().cast("array<string>"))
     listed = F.array_distinct(F.transform(units, lambda u: F.filter(F.split(u, _GAP), lambda w: w != "")))
     fits = lambda n, size: (n >= bounds(size, threshold)[0]) & (n <= bounds(size, threshold)[1])
 
