@@ -72,3 +72,13 @@ def test_query_equals_the_library(spark, library):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op6_bpe"](spark, SF).collect()}
     assert got == {i: expected(library, t) for i, t in texts.items()}
+
+
+def test_table_of_known_words_shrinks_without_a_trace(coder, library, monkeypatch):
+    monkeypatch.setattr(bpe, "_KNOWN", 40)
+    monkeypatch.setattr(bpe, "_KNOWN_CHARACTERS", 300)
+    monkeypatch.setattr(bpe, "_FREQUENT", 9)
+    rng = random.Random(3)
+    for _ in range(60):
+        texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 20) + str(rng.randint(0, 30)) for _ in range(rng.randint(0, 30))) for _ in range(3)]
+        assert [x.tolist() for x in coder.encode(texts)] == [library.encode_ordinary(t) for t in texts]

@@ -35,11 +35,12 @@ from tickloom.llm.common import slices, texts
 
 # A cut that no match crosses. Python's \s also has the separators U+001C to U+001F: fewer cuts, never wrong ones.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-# Longest stretch of text that is split at once, and known words before the table starts anew.
+# Longest stretch of text that is split at once. Known words, and characters of them, above which the table shrinks to its
+# most frequent words, and how many those are.
 _STRETCH = 1 << 20
-_KNOWN = 600_000
+_KNOWN, _KNOWN_CHARACTERS, _FREQUENT = 200_000, 1 << 23, 50_000
 # Bytes of text that go through one replay.
-_SLICE = 1 << 24
+_SLICE = 1 << 21
 # Up to this many places of a pair, a loop is faster than array operations.
 _FEW = 12
 
@@ -204,10 +205,13 @@ class Matcher:
 
 
 class _Codes(dict):
-    """Numbers strings in order of arrival."""
+    """Numbers strings in order of arrival, and adds up their characters."""
+
+    characters = 0
 
     def __missing__(self, key: str) -> int:
         self[key] = code = len(self)
+        self.characters += len(key)
         return code
 
 
@@ -220,12 +224,22 @@ class Codec:
         self.match = Matcher(pattern)
         bytes_of = {rank: token for token, rank in ranks.items()}
         self.vocabulary = [bytes_of.get(i) for i in range(max(bytes_of) + 1)]
-        self._forget()
+        self._known([], np.empty(0, np.int32), np.empty(0, np.int64))
 
-    def _forget(self) -> None:
-        """Known words by code: where their ids start in ``flat``, and how many they are."""
+    def _known(self, words: Iterable[str], flat: np.ndarray, counts: np.ndarray) -> None:
+        """Known words by code: where their ids start in ``flat``, how many they are, how often the word has come."""
         self.codes = _Codes()
-        self.flat, self.counts, self.starts = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        for word in words:
+            self.codes[word]
+        self.flat, self.counts, self.starts = flat, counts, np.cumsum(counts) - counts
+        self.seen = np.zeros(counts.size, np.int64)
+
+    def _shrink(self) -> None:
+        """Only frequent words stay, and of those only short ones where words are long."""
+        words = list(self.codes)
+        often = np.sort(np.argsort(-self.seen, kind="stable")[:_FREQUENT])
+        often = often[[len(words[i]) * _FREQUENT <= _KNOWN_CHARACTERS for i in often]]
+        self._known([words[i] for i in often], self._ids(often), self.counts[often])
 
     def _learn(self) -> None:
         """One replay over the words that have a code but no ids yet."""
@@ -236,9 +250,9 @@ class Codec:
         self.starts = np.cumsum(self.counts) - self.counts
 
     def encode(self, some: Iterable[str]) -> list[np.ndarray]:
-        """Ids of every text. ``some`` should be a few tens of megabytes at most."""
-        if len(self.codes) > _KNOWN:
-            self._forget()
+        """Ids of every text. ``some`` should be a few megabytes at most."""
+        if len(self.codes) > _KNOWN or self.codes.characters > _KNOWN_CHARACTERS:
+            self._shrink()
         code = self.codes.__getitem__
         coded = []
         for text in some:
@@ -246,6 +260,8 @@ class Codec:
             coded.append(found[0] if len(found) == 1 else np.concatenate(found))
         if len(self.codes) > self.counts.size:
             self._learn()
+        self.seen = np.pad(self.seen, (0, self.counts.size - self.seen.size))
+        self.seen += np.bincount(np.concatenate([*coded, np.empty(0, np.int32)]), minlength=self.counts.size)
         return [self._ids(codes) for codes in coded]
 
     def _ids(self, codes: np.ndarray) -> np.ndarray:
