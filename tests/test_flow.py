@@ -57,3 +57,21 @@ def test_hourly_drift_and_training_runs(spark, tmp_path, hours):
     assert (row.train_rows + row.test_rows, row.features_table_version) == (277, 2)
     assert all(r.passed for r in replay_checks(split, manifest, ["open_time", "symbol"]).collect())
     assert flow.rows_of(split, "train").count() == row.train_rows
+
+
+def test_first_build_of_a_young_series(spark, tmp_path, hours):
+    """Ten bars give no feature row; the tables exist all the same, and the next runs go on from there."""
+    tables = flow.Tables(spark, str(tmp_path / "t"))
+    paths = IngestPaths(*(str(tmp_path / n) for n in ("landing", "checkpoint", "staging")), raw=f"{tmp_path}/t/raw")
+    scorer = lambda df: df.withColumn("prediction", F.col("return_1h") * 0)
+    run = lambda as_of: flow.hourly(tables, paths, as_of, COLUMNS, scorer, "target_return_1h", {"model_uri": "zero"}, warmup_rows=24)
+    write_landing(landing(spark, hours, 0, 10), paths.landing)
+    run(hours(10) + timedelta(minutes=5))
+    assert tables.versions() == {"raw": 0, "features": 0, "predictions": 0}
+    assert tables.features.read().count() == 0 and "rsi_14" in tables.features.read().columns
+    write_landing(landing(spark, hours, 10, 30), paths.landing)
+    run(hours(40) + timedelta(minutes=5))
+    rebuilt = drop_warmup(full_features(tables.raw.read()))
+    held = tables.features.read().select(rebuilt.columns)
+    assert held.count() == rebuilt.count() == 16 and held.exceptAll(rebuilt).count() == 0
+    assert tables.predictions.read().count() == 1

@@ -21,7 +21,7 @@ from tickloom.sources.landing import (
     write_landing,
 )
 from tickloom.sources.snapshots import SnapshotTable, save, table_exists, union_all, version_availability
-from tickloom.streaming.ingest import BadBatch, IngestPaths, expired_batches, merge_batch, staged_append, start_ingest
+from tickloom.streaming.ingest import BadBatch, IngestPaths, expired_batches, merge_batch, remove_expired, staged_append, start_ingest, stream_id
 
 KLINE = [1700000000000, "40000.0", "41000.0", "39000.0", "40500.0", "100.0", 1700003600000, "4000000.0", 1000]
 
@@ -280,3 +280,48 @@ def test_replayed_batch_sets_bad_rows_aside_once(spark, hours, tmp_path):
     assert spark.read.parquet(quarantine).count() == 1
     merge_batch(batch, raw, quarantine, batch_id=4)
     assert spark.read.parquet(quarantine).count() == 2
+
+
+def test_replayed_batch_publishes_nothing(spark, tmp_path):
+    paths = paths_in(tmp_path)
+    land(landing_rows(spark, 4), paths.landing)
+    start_ingest(spark, paths)
+    raw, stream = SnapshotTable(spark, paths.raw), stream_id(spark, paths.checkpoint)
+    batch = spark.read.parquet(f"{paths.staging}/batch_id=0")
+    merge_batch(batch, raw, batch_id=0, stream=stream)
+    assert raw.latest_version() == 0 and raw.version_of(f"{stream}:0") == 0
+    merge_batch(batch, raw, batch_id=0, stream="another stream")
+    merge_batch(batch, raw)  # without a name every merge is a version
+    assert raw.latest_version() == 2 and raw.read().count() == 4
+
+
+def test_a_write_without_rows_keeps_the_version(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    rows = spark.createDataFrame([("a", datetime(2025, 1, 1), 1.0)], "symbol STRING, open_time TIMESTAMP, close DOUBLE")
+    assert table.upsert(rows.limit(0), ["symbol", "open_time"]) == 0
+    assert table.read().count() == 0 and table.read().columns == rows.columns
+    assert table.upsert(rows, ["symbol", "open_time"]) == 1
+    assert table.upsert(rows.limit(0), ["symbol", "open_time"], batch="b") == 1
+    assert table.read().collect() == rows.collect() and table.read(0).count() == 0
+
+
+def test_expired_batches_are_removed_as_a_whole(spark, tmp_path):
+    paths = paths_in(tmp_path)
+    for start in range(0, 16, 4):
+        land(landing_rows(spark, 4, start=start), paths.landing)
+        start_ingest(spark, paths)
+    now = datetime(2025, 6, 10)
+    # The load times are those of this run; batch 0 is made old, batch 1 half old, batch 3 old but not merged.
+    for batch, ages in {0: [90, 90], 1: [90, 1], 2: [1, 1], 3: [90, 90]}.items():
+        rows = spark.read.parquet(f"{paths.staging}/batch_id={batch}").collect()
+        aged = spark.createDataFrame([{**r.asDict(), "_loaded_at": now - timedelta(hours=ages[i % 2])} for i, r in enumerate(rows)])
+        aged.write.mode("overwrite").parquet(f"{paths.staging}/batch_id={batch}")
+    index = spark.read.parquet(f"{paths.raw}/index").where("version < 3").collect()
+    held = SnapshotTable(spark, paths.raw).index().schema
+    spark.createDataFrame(index, held).write.parquet(f"{tmp_path}/other/index")
+    unmerged = IngestPaths(paths.landing, paths.checkpoint, paths.staging, f"{tmp_path}/other")
+    assert remove_expired(spark, unmerged, now) == [0]
+    assert sorted(p.name for p in (tmp_path / "staging").glob("batch_id=*")) == ["batch_id=1", "batch_id=2", "batch_id=3"]
+    assert remove_expired(spark, unmerged, now) == []
+    assert remove_expired(spark, paths, now) == [3]
+    assert SnapshotTable(spark, paths.raw).read().count() == 16

@@ -34,16 +34,19 @@ def build_bars(
     source: str = "ticks",
 ) -> DataFrame:
     """OHLCV bars per series. One hash aggregate: the map side combines, so a series that holds a
-    third of all ticks still sends one row per bar and map task to the shuffle."""
+    third of all ticks still sends one row per bar and map task to the shuffle.
+
+    ``ticks`` may be a stream with a watermark on ``ts``: the window stays a struct until after the aggregate, so that Spark
+    knows when the state of a bar is over.
+    """
     series = F.col(series) if isinstance(series, str) else series
-    width = f"{bar_us} microseconds"
     priced = ticks.select(
         series.alias("symbol"),
-        F.window(ts, width)["start"].alias("open_time"),
+        F.window(ts, f"{bar_us} microseconds").alias("_bar"),
         F.col(value).alias("_v"),
         _tick_order(ts, tie, bar_us).alias("_order"),
     )
-    bars = priced.groupBy("symbol", "open_time").agg(
+    bars = priced.groupBy("symbol", "_bar").agg(
         F.min_by("_v", "_order").alias("open"),
         F.max("_v").alias("high"),
         F.min("_v").alias("low"),
@@ -52,6 +55,7 @@ def build_bars(
         F.sum(F.col("_v") * F.col("_v")).alias("quote_volume"),
         F.count("*").alias("trades"),
     )
+    bars = bars.withColumn("open_time", F.col("_bar.start"))
     last_second = F.expr(f"INTERVAL {bar_us // 1_000_000 - 1} SECONDS")
     return bars.select(
         "symbol",

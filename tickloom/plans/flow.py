@@ -18,7 +18,7 @@ from tickloom.operators.quality import require_rows
 from tickloom.operators.split import complete_rows, temporal_split
 from tickloom.plans import gate, monitor
 from tickloom.schemas import METRICS, conform
-from tickloom.sources.snapshots import SnapshotTable, union_all
+from tickloom.sources.snapshots import NO_DAY, UNKNOWN_DAY, SnapshotTable, union_all
 from tickloom.streaming.ingest import IngestPaths, start_ingest
 
 
@@ -73,7 +73,7 @@ def refresh_features(tables: Tables, keys: list[str] | None = None, full: bool =
         return tables.features.latest_version()
     raw = tables.raw.read(raw_version)
     day = tables.raw.first_day_after(built) if built is not None else None
-    if day is None or day == "unknown":
+    if day is None or day in (UNKNOWN_DAY, NO_DAY):
         rows = full_features(raw, keys)
     else:
         start = F.to_timestamp(F.lit(day)) - F.lit(HORIZON)

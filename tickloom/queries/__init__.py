@@ -14,6 +14,7 @@ from tickloom.queries import (  # noqa: F401  (importing a module registers its
     quality,
     reports,
     selection,
+    streams,
 )
 from tickloom.queries.base import ORACLES, QUERIES
 

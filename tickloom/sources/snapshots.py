@@ -5,6 +5,9 @@ and then appends one index row per day that names the folder; readers see a vers
 exist. A stop in between leaves a folder that nobody reads, and the next attempt is not in its way. An
 upsert rewrites the touched days, not the table. One writer at a time is assumed.
 
+A write may name its batch, which the index keeps: a batch that is published already is not written again, and its
+version is returned. A write without rows publishes nothing, except that a first version keeps the columns.
+
 Layout: ``root/data/ATTEMPT/day=YYYY-MM-DD/*.parquet`` and ``root/index/*.parquet``.
 """
 
@@ -20,7 +23,9 @@ from tickloom.operators.dedup import duplicate_keys
 from tickloom.operators.upsert import grow_columns, upsert
 from tickloom.session import checkpointed
 
-_INDEX = "version BIGINT, day STRING, committed_at TIMESTAMP, folder STRING"
+_INDEX = "version BIGINT, day STRING, committed_at TIMESTAMP, folder STRING, batch STRING"
+# Days of rows without a time, and of a first version without rows.
+UNKNOWN_DAY, NO_DAY = "unknown", "none"
 
 
 class SnapshotTable:
@@ -30,12 +35,12 @@ class SnapshotTable:
         self.spark, self.root, self.time = spark, root.rstrip("/"), time
 
     def _day(self):
-        return F.coalesce(F.date_format(self.time, "yyyy-MM-dd"), F.lit("unknown"))
+        return F.coalesce(F.date_format(self.time, "yyyy-MM-dd"), F.lit(UNKNOWN_DAY))
 
     # -- metadata ---------------------------------------------------------------------------
 
     def index(self) -> DataFrame:
-        """(version, day, committed_at, folder); empty before the first version."""
+        """(version, day, committed_at, folder, batch); empty before the first version."""
         try:
             return self.spark.read.schema(_INDEX).parquet(f"{self.root}/index")
         except AnalysisException:
@@ -52,6 +57,12 @@ class SnapshotTable:
             F.max("committed_at").alias("committed_at"), F.count("*").alias("days_written")
         )
 
+    def version_of(self, batch: str | None) -> int | None:
+        """The version that a batch was published as."""
+        if batch is None:
+            return None
+        return self.index().where(F.col("batch") == batch).agg(F.max("version")).first()[0]
+
     def first_day_after(self, version: int | None) -> str | None:
         """The earliest day written by any version newer than the given one."""
         newer = self.index() if version is None else self.index().where(F.col("version") > version)
@@ -74,17 +85,28 @@ class SnapshotTable:
 
     # -- writing ----------------------------------------------------------------------------
 
-    def _publish(self, df: DataFrame) -> int:
+    def _publish(self, df: DataFrame, batch: str | None = None) -> int:
         latest = self.latest_version()
-        version = 0 if latest is None else latest + 1
         folder = uuid.uuid4().hex
+        path = f"{self.root}/data/{folder}"
         # Rebalancing sizes the tasks by data: a heavy day (or all rows without a time) is written by
         # several, and light days share one.
         sized = df.withColumn("day", self._day()).hint("rebalance", "day")
-        sized.write.partitionBy("day").parquet(f"{self.root}/data/{folder}")
-        written = self.spark.read.parquet(f"{self.root}/data/{folder}").select(F.col("day").cast("string")).distinct()
+        sized.write.partitionBy("day").parquet(path)
+        # The schema is given, as a folder without files has none to infer.
+        written = self.spark.read.schema("day STRING").parquet(path).select("day").distinct()
+        if written.limit(1).count() == 0:
+            if latest is not None:
+                return latest
+            df.limit(0).write.parquet(f"{path}/day={NO_DAY}")
+            written = self.spark.createDataFrame([(NO_DAY,)], "day STRING")
+        version = 0 if latest is None else latest + 1
         rows = written.select(
-            F.lit(version).cast("bigint").alias("version"), "day", F.current_timestamp().alias("committed_at"), F.lit(folder).alias("folder")
+            F.lit(version).cast("bigint").alias("version"),
+            "day",
+            F.current_timestamp().alias("committed_at"),
+            F.lit(folder).alias("folder"),
+            F.lit(batch).cast("string").alias("batch"),
         )
         rows.coalesce(1).write.mode("append").parquet(f"{self.root}/index")
         return version
@@ -95,14 +117,18 @@ class SnapshotTable:
             raise ValueError(f"{self.root} already has versions")
         return self._publish(df)
 
-    def upsert(self, source: DataFrame, keys: list[str], null_safe=True, unique: bool = False) -> int:
+    def upsert(self, source: DataFrame, keys: list[str], null_safe=True, unique: bool = False, batch: str | None = None) -> int:
         """Merge by key. Only the days present in the source are read and rewritten. Repeated source
-        keys are refused; ``unique`` skips that check where they cannot occur.
+        keys are refused; ``unique`` skips that check where they cannot occur. A ``batch`` that is
+        published already changes nothing.
 
         A row of the source belongs to the day of its time, so a key must include the time column.
         """
         if self.time not in keys:
             raise ValueError(f"the key must include {self.time}")
+        published = self.version_of(batch)
+        if published is not None:
+            return published
         # Several passes follow, so the source is evaluated once.
         source = checkpointed(source)
         if not unique and duplicate_keys(source, keys).limit(1).count():
@@ -110,10 +136,10 @@ class SnapshotTable:
         touched = source.select(self._day().alias("day")).distinct()
         folders = self._paths(self.index().join(touched, "day", "left_semi"))
         if not folders:
-            return self._publish(source)
+            return self._publish(source, batch)
         target = self.spark.read.option("mergeSchema", True).parquet(*folders)
         merged = upsert(grow_columns(target, source), source, keys, null_safe)
-        return self._publish(merged)
+        return self._publish(merged, batch)
 
 
 def version_availability(required: DataFrame, available: DataFrame, min_retention_hours: float) -> DataFrame:

@@ -1,12 +1,13 @@
 """Landing files to raw bars as one file stream.
 
 Each micro-batch is staged, parsed, validated, reduced to the newest load per key and merged into the
-raw table. A replayed batch stages under the same batch id and merges the same keys, so running it
-twice changes nothing.
+raw table. A replayed batch stages under the same batch id, and the raw table knows by the stream and batch
+id that it holds the batch, so running it twice publishes nothing new.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -30,13 +31,17 @@ class IngestPaths:
     quarantine: str | None = None  # set it to keep good rows and set bad ones aside
 
 
-def merge_batch(batch: DataFrame, raw: SnapshotTable, quarantine: str | None = None, defaults=None, batch_id: int = 0) -> None:
+def merge_batch(batch: DataFrame, raw: SnapshotTable, quarantine: str | None = None, defaults=None, batch_id: int = 0, stream: str | None = None) -> None:
     """Parse, check and merge one batch of landing rows.
 
     Without a quarantine folder any bad row fails the batch, counts included; with one, bad rows are
     written there with the rules they break and the rest is merged. The folder of a batch is
-    overwritten, so a replay sets the same rows aside once.
+    overwritten, so a replay sets the same rows aside once. ``stream`` tells batches of equal number apart; with
+    it, a batch that the raw table holds is skipped.
     """
+    batch_name = None if stream is None else f"{stream}:{batch_id}"
+    if raw.version_of(batch_name) is not None:
+        return
     parsed = parse_landing(batch, **({"defaults": defaults} if defaults else {}))
     facts = batch_summary(parsed).first()
     if facts["row_count"] == 0:
@@ -56,7 +61,12 @@ def merge_batch(batch: DataFrame, raw: SnapshotTable, quarantine: str | None = N
         good = good.where(~unparsed)
         if good.limit(1).count() == 0:
             return
-    raw.upsert(newest_load(good), BAR_KEYS, unique=True)
+    raw.upsert(newest_load(good), BAR_KEYS, unique=True, batch=batch_name)
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint folder over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def start_ingest(spark: SparkSession, paths: IngestPaths, max_files_per_trigger: int | None = None):
@@ -68,7 +78,8 @@ def start_ingest(spark: SparkSession, paths: IngestPaths, max_files_per_trigger:
         # merge reads it back, so the CSV files are parsed once.
         folder = f"{paths.staging}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(folder)
-        merge_batch(batch.sparkSession.read.parquet(folder), raw, paths.quarantine, batch_id=batch_id)
+        stream = stream_id(batch.sparkSession, paths.checkpoint)
+        merge_batch(batch.sparkSession.read.schema(batch.schema).parquet(folder), raw, paths.quarantine, batch_id=batch_id, stream=stream)
 
     query = (
         read_landing_stream(spark, paths.landing, max_files_per_trigger)
@@ -97,6 +108,30 @@ def staged_append(spark: SparkSession, landing: str, checkpoint: str, staging: s
 
 
 def expired_batches(staging: DataFrame, as_of, hours: int = 48) -> DataFrame:
-    """Staged batches whose every row is past the retention; dropping their folders cleans staging."""
+    """Staged batches whose every row is past the retention."""
     kept = retain_recent(staging, as_of, hours).select("batch_id").distinct()
     return staging.select("batch_id").distinct().join(kept, "batch_id", "left_anti")
+
+
+def merged_batches(raw: SnapshotTable, stream: str) -> int:
+    """The last batch of a stream that the raw table holds, -1 for none. Batches come in order, so all earlier ones are done."""
+    number = F.substring_index("batch", ":", -1).cast("bigint")
+    last = raw.index().where(F.substring_index("batch", ":", 1) == stream).agg(F.max(number)).first()[0]
+    return -1 if last is None else last
+
+
+def remove_expired(spark: SparkSession, paths: IngestPaths, as_of, hours: int = 48) -> list[int]:
+    """Delete the folders of staged batches that are merged and wholly past the retention; returns their ids.
+
+    A batch goes or stays as a whole. A folder that is gone is not listed again, so a stop half-way leaves the rest to
+    the next call.
+    """
+    staging = spark.read.option("basePath", paths.staging).parquet(paths.staging)
+    done = merged_batches(SnapshotTable(spark, paths.raw), stream_id(spark, paths.checkpoint))
+    expired = expired_batches(staging, as_of, hours).where(F.col("batch_id") <= done)
+    removed = []
+    for row in expired.sort("batch_id").toLocalIterator():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{paths.staging}/batch_id={row.batch_id}")
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+        removed.append(row.batch_id)
+    return removed
