@@ -10,7 +10,7 @@ from tickloom.functions import scores
 from tickloom.operators import govern as g
 from tickloom.operators import models as m
 from tickloom.operators import split as s
-from tickloom.operators.evaluate import common_keys, fair_comparison
+from tickloom.operators.evaluate import Candidate, common_keys, evaluate_models, evaluation_rows, fair_comparison
 from tickloom.operators.predict import score_latest, to_close_and_return
 
 
@@ -78,10 +78,48 @@ def test_fair_comparison_uses_common_newest_rows(spark, hours):
     mk = lambda lo, hi, p: spark.createDataFrame([(hours(i), "a", 1.0, p) for i in range(lo, hi)], "t TIMESTAMP, symbol STRING, actual DOUBLE, predicted DOUBLE")
     champion, challenger = mk(0, 50, 2.0), mk(30, 90, 1.5)
     assert common_keys(champion, challenger, ["t", "symbol"], None).count() == 20
-    got = fair_comparison(champion, challenger, ["t", "symbol"], max_rows=10, min_rows=11).first()
+    got = fair_comparison(champion, challenger, ["t", "symbol"], per_series=10, min_rows=11).first()
     assert (got.eval_rows, got.enough_rows, got.champion_rmse, got.challenger_mae) == (10, False, 1.0, 0.5)
 
 
+def feature_table(spark, hours, series, n):
+    rows = [(hours(i), f"s{k}", float(i), float(k) if i % 2 else None, 1.0) for k in range(series) for i in range(n)]
+    return spark.createDataFrame(rows, "t TIMESTAMP, symbol STRING, y DOUBLE, x DOUBLE, z DOUBLE")
+
+
+FIRST = Candidate(["x", "z"], lambda df: df.withColumn("prediction", F.col("y") + F.col("z")))
+SECOND = Candidate(["z"], lambda df: df.withColumn("prediction", F.col("y") - 3 * F.col("z")))
+
+
+@pytest.mark.parametrize("series", [1, 40])
+def test_every_series_is_judged_over_the_same_span(spark, hours, series):
+    rows = evaluation_rows(feature_table(spark, hours, series, 60), ["t", "symbol"], "y", ["x", "z"], 12)
+    spans = {r.symbol: (r.n, r.first) for r in rows.groupBy("symbol").agg(F.count("*").alias("n"), F.min("t").alias("first")).collect()}
+    assert len(spans) == series and set(spans.values()) == {(12, hours(37))}  # odd hours are complete: 37 to 59
+    got = evaluate_models(feature_table(spark, hours, series, 60), ["t", "symbol"], "y", FIRST, SECOND, 12, 13).first()
+    assert (got.eval_rows, got.enough_rows, got.champion_rmse, got.challenger_rmse) == (12 * series, series > 1, 1.0, 3.0)
+
+
+def test_without_series_the_newest_rows_are_judged(spark, hours):
+    one = feature_table(spark, hours, 1, 60).drop("symbol")
+    assert evaluate_models(one, ["t"], "y", FIRST, SECOND, 7).first().eval_rows == 7
+    assert evaluate_models(one.limit(0), ["t"], "y", FIRST, SECOND).first().enough_rows is False
+
+
+def test_evaluation_refuses_repeated_keys_and_missing_columns(spark, hours):
+    table = feature_table(spark, hours, 2, 10)
+    with pytest.raises(ValueError, match="unique keys"):
+        evaluate_models(table.unionByName(table.limit(1)), ["t", "symbol"], "y", FIRST, SECOND)
+    with pytest.raises(ValueError, match="missing: .*'w'"):
+        evaluate_models(table, ["t", "symbol"], "y", Candidate(["w"], FIRST.scorer), SECOND)
+
+
+def test_long_series_are_limited_before_the_shuffle(spark, hours):
+    rows = evaluation_rows(feature_table(spark, hours, 2, 10), ["t", "symbol"], "y", ["x", "z"], 3)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
 def test_manifest_and_replay(spark, hours):
     split = s.temporal_split(model_frame(spark, hours, 50))
     run = {"run_id": "r", "model_algo": "gbt", "raw_table": "raw", "raw_table_version": 1, "features_table": "f", "features_table_version": 1}

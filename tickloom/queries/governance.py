@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import govern as g
 from tickloom.operators import split as s
-from tickloom.operators.evaluate import common_keys, fair_comparison
+from tickloom.operators.evaluate import Candidate, common_keys, evaluate_models, fair_comparison
 from tickloom.queries import base
 from tickloom.queries.base import SQL_FEATURES, SQL_SCORED, query, rounded, sql_r6
 from tickloom.session import checkpointed
@@ -107,7 +107,7 @@ def replay_mismatch(spark, sf):
 
 _FAIR = f"""{SQL_SCORED}, returns AS (SELECT symbol, feature_open_time, model_uri, actual_close / (predicted_close / (1 + predicted_return_1h)) - 1 AS actual, predicted_return_1h AS predicted FROM scored),
 shared AS (SELECT feature_open_time, symbol FROM returns WHERE model_uri = 'ma7' INTERSECT SELECT feature_open_time, symbol FROM returns WHERE model_uri = 'persistence'),
-keys AS (SELECT * FROM shared ORDER BY feature_open_time DESC, symbol DESC LIMIT 2000),
+keys AS (SELECT * FROM shared QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY feature_open_time DESC) <= 2000),
 rows AS (SELECT c.actual AS ca, c.predicted AS cp, n.actual AS na, n.predicted AS np FROM keys k
   JOIN returns c ON c.symbol = k.symbol AND c.feature_open_time = k.feature_open_time AND c.model_uri = 'persistence'
   JOIN returns n ON n.symbol = k.symbol AND n.feature_open_time = k.feature_open_time AND n.model_uri = 'ma7'),
@@ -140,6 +140,24 @@ def fair_eval(spark, sf):
     return rounded(fair(spark, sf))
 
 
+_SPAN = 240
+_MODELS = f"""{SQL_FEATURES}, newest AS (
+  SELECT * FROM features WHERE target_close_1h IS NOT NULL AND close IS NOT NULL AND ma_7 IS NOT NULL AND ma_24 IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= {_SPAN}),
+rows AS (SELECT target_close_1h AS a, close AS cp, (ma_7 + ma_24) / 2 AS np FROM newest),
+fair AS (SELECT count(*) AS eval_rows, count(*) >= 100 AS enough_rows, sqrt(avg((a - cp) ** 2)) AS champion_rmse, avg(abs(a - cp)) AS champion_mae,
+  avg(CASE WHEN sign(a) = sign(cp) THEN 1.0 ELSE 0.0 END) AS champion_directional_accuracy, sqrt(avg((a - np) ** 2)) AS challenger_rmse, avg(abs(a - np)) AS challenger_mae,
+  avg(CASE WHEN sign(a) = sign(np) THEN 1.0 ELSE 0.0 END) AS challenger_directional_accuracy FROM rows)"""
+
+
+@query("fair_eval_models", f"WITH {_MODELS} SELECT eval_rows, enough_rows, {base.sql_rounded(_FAIR_COLUMNS)} FROM fair")
+def fair_eval_models(spark, sf):
+    """Two rule-based models with different feature lists, on the newest 240 rows of every series that suit both."""
+    champion = Candidate(["close"], lambda df: df.withColumn("prediction", F.col("close")))
+    challenger = Candidate(["ma_7", "ma_24"], lambda df: df.withColumn("prediction", (F.col("ma_7") + F.col("ma_24")) / 2))
+    return rounded(evaluate_models(base.stored_features(spark, sf), ["open_time", "symbol"], "target_close_1h", champion, challenger, _SPAN))
+
+
 @query(
     "common_keys",
     f"WITH {_FAIR} SELECT feature_open_time, symbol FROM shared",
@@ -148,7 +166,7 @@ def common_keys_query(spark, sf):
     """INTERSECT of the keys two models scored."""
     rows = returns(spark, sf)
     of = lambda uri: rows.where(F.col("model_uri") == uri)
-    return common_keys(of("persistence"), of("ma7"), ["feature_open_time", "symbol"], limit=None)
+    return common_keys(of("persistence"), of("ma7"), ["feature_open_time", "symbol"])
 
 
 @query(
