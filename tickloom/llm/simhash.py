@@ -200,4 +200,5 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     labelled = classes.join(linked, classes["fp"] == linked["node"], "left")
     firsts = labelled.groupBy(F.coalesce("label", "fp").alias("group")).agg(F.min("first").alias("first"))
     kept = stored(firsts.select(F.col("first.key").alias(key)))
-    return rows.join(kept, key, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The kept rows are most rows: a broadcast of them would only hold while the corpus is small.
+    return rows.join(kept.hint("merge"), key, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
