@@ -163,8 +163,10 @@ def remove_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # Stored, so that a row keeps its number, which stands for its id here: ids may be NULL or repeated.
     rows = stored(docs.withColumn(key, F.monotonically_increasing_id()))
     found = contamination(rows.select(F.col(key).alias("doc_id"), "text"), benchmark)
+    # Stored twice: the filter is not pushed into the making of the verdicts, and the join is planned by the true number of bad rows.
     verdicts = stored(found.select(F.col("doc_id").alias(key), "contaminated"))
-    return rows.join(verdicts.where("contaminated"), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    bad = stored(verdicts.where("contaminated").select(key))
+    return rows.join(bad, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def sql(documents: str = "documents") -> str:
