@@ -55,10 +55,13 @@ def to_long(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
     return df.select(*keep, F.inline(F.array(*cells))).where(F.col("value").isNotNull())
 
 
-def bucket_counts(windows: DataFrame, columns: list[str], accuracy: int = 10000) -> DataFrame:
+def bucket_counts(windows: DataFrame, columns: list[str], accuracy: int = 10000, exact: bool = False) -> DataFrame:
     """(feature, bucket, n_reference, n_recent). The cut table has one row per column, so it is
-    broadcast: its size is the number of columns asked for, not the data."""
-    cuts = cut_points(windows.where(~F.col("is_recent")), columns, accuracy=accuracy)
+    broadcast: its size is the number of columns asked for, not the data. ``exact`` cuts take a few passes more."""
+    from tickloom.operators.quantiles import exact_cuts
+
+    reference = windows.where(~F.col("is_recent"))
+    cuts = exact_cuts(reference, columns) if exact else cut_points(reference, columns, accuracy=accuracy)
     values = to_long(windows, columns, ["is_recent"])
     placed = values.join(F.broadcast(cuts), "feature").select(
         "feature", bucket_of(F.col("value"), F.col("cuts")).alias("bucket"), "is_recent"
@@ -68,9 +71,9 @@ def bucket_counts(windows: DataFrame, columns: list[str], accuracy: int = 10000)
     )
 
 
-def drift_scores(windows: DataFrame, columns: list[str], accuracy: int = 10000) -> DataFrame:
+def drift_scores(windows: DataFrame, columns: list[str], accuracy: int = 10000, exact: bool = False) -> DataFrame:
     """PSI and the largest CDF gap at the deciles per column; NULL when a window has no values."""
-    counts = bucket_counts(windows, columns, accuracy)
+    counts = bucket_counts(windows, columns, accuracy, exact)
     at = lambda i, side: F.sum(F.when(F.col("bucket") == i, F.col(side)).otherwise(0))
     sides = {
         side: F.array(*[at(i, side).cast("double") for i in range(BUCKETS)])

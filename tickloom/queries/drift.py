@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickloom.operators import drift as d
+from tickloom.operators.quantiles import exact_cuts
 from tickloom.plans import monitor
 from tickloom.queries import base
 from tickloom.queries.base import SQL_FEATURES, SQL_PREDICTIONS, query, rounded, sql_r6
@@ -124,9 +125,26 @@ def prediction_drift(spark, sf):
 
 _ORDER_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
-@query("lineitem_drift")
+_ORDERS = f"""ordered AS (
+  SELECT *, l_shipdate > (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 8760 HOUR AS is_recent FROM lineitem
+  WHERE l_shipdate > (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 26280 HOUR), {sql_drift(_ORDER_COLUMNS, "ordered")}"""
+
+
+@query("lineitem_drift", f"WITH {_ORDERS} SELECT feature, n_reference, n_recent, {sql_r6('psi', 'psi')}, {sql_r6('ks', 'ks')} FROM drift")
 def lineitem_drift(spark, sf):
-    """Drift of order-line columns, the last year against the two before. Above about 10,000 values
-    the cut points are approximate, so there is no exact SQL to compare with."""
+    """Drift of order-line columns, the last year against the two before, with exact cut points."""
     w = d.label_windows(base.table(spark, sf, "lineitem"), "l_shipdate", 8760, 17520)
-    return rounded(d.drift_scores(w, _ORDER_COLUMNS))
+    return rounded(d.drift_scores(w, _ORDER_COLUMNS, exact=True))
+
+
+_CUT_LIST = f"""WITH long AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM lineitem WHERE {c} IS NOT NULL" for c in _ORDER_COLUMNS)}),
+ranked AS (SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY value) AS place, count(*) OVER (PARTITION BY feature) AS n FROM long)
+SELECT feature, CAST(p AS BIGINT) AS percent, value AS cut FROM ranked, (SELECT unnest(range(1, 100)) AS p) WHERE place = (p * n + 99) // 100"""
+
+
+@query("exact_percentiles", _CUT_LIST)
+def exact_percentiles(spark, sf):
+    """All 99 percentiles of four order-line columns, exact."""
+    cuts = exact_cuts(base.table(spark, sf, "lineitem"), _ORDER_COLUMNS, parts=100)
+    listed = cuts.select("feature", F.posexplode("cuts").alias("at", "cut"))
+    return listed.select("feature", (F.col("at") + 1).cast("bigint").alias("percent"), "cut")
