@@ -174,5 +174,21 @@ def test_search_reports_every_trial(spark, hours):
     trials = m.grid(numTrees=[3], maxDepth=[1, 4])
     got = m.search(blocks, ["x", "z"], "y", "random_forest", trials, folds=2).orderBy("trial_number").collect()
     assert len(got) == 2 and got[1].cv_rmse < got[0].cv_rmse
+    assert [r.folds_done for r in got] == [2, 2] and m.best_trial(spark.createDataFrame(got)) == 1
     assert m.sample_params("gbt", 3) == m.sample_params("gbt", 3)
     assert all(0.01 <= p["stepSize"] <= 0.3 for p in m.sample_params("gbt", 20))
+
+
+def test_search_gives_up_poor_trials_in_any_order_of_ends(spark, hours):
+    blocks = s.cv_blocks(model_frame(spark, hours, 60), folds=3)
+    trials = m.grid(numTrees=[3], maxDepth=[1, 2, 3, 4, 5])
+    runs = [m.search(blocks, ["x", "z"], "y", "random_forest", trials, 3, parallel, prune_above=2).collect() for parallel in (1, 4)]
+    assert runs[0] == runs[1]
+    done = [r.folds_done for r in runs[0]]
+    assert len(done) == 5 and done.count(3) == 2 and min(done) == 1
+    assert all((r.cv_rmse is None) == (r.folds_done < 3) for r in runs[0])
+    best = m.best_trial(spark.createDataFrame(runs[0], "trial_number INT, model_algo STRING, params MAP<STRING, DOUBLE>, cv_rmse DOUBLE, folds_done INT"))
+    frame = model_frame(spark, hours, 60)
+    _, scored = m.refit(frame, frame, ["x", "z"], "y", "random_forest", trials[best])
+    assert scored.count() == 60 and "prediction" in scored.columns
+    assert m.best_trial(spark.createDataFrame([], "trial_number INT, cv_rmse DOUBLE")) is None

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import itertools
 import random
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -19,12 +21,11 @@ from tickloom.session import checkpointed
 
 SEED = 42  # fixed value
 
-# Search ranges by algorithm: name -> (kind, low, high) (fixed values; tree counts and depths are
-# those of the boosted and bagged trees that MLlib offers).
+# Search ranges by algorithm, name -> (kind, low, high), as far as MLlib's trees have the parameter.
 SEARCH_SPACES = {
     "gbt": {
-        "maxIter": ("int", 10, 60),
-        "maxDepth": ("int", 3, 10),
+        "maxIter": ("int", 100, 1000),
+        "maxDepth": ("int", 3, 12),
         "stepSize": ("log", 0.01, 0.3),
         "subsamplingRate": ("float", 0.6, 1.0),
         "minInstancesPerNode": ("int", 1, 20),
@@ -72,6 +73,15 @@ def sample_params(algo: str, trials: int, seed: int = SEED) -> list[dict]:
     return [{name: draw[kind](lo, hi) for name, (kind, lo, hi) in space.items()} for _ in range(trials)]
 
 
+def _prune(errors: dict[int, list[float | None]], at_least: int) -> list[int]:
+    """The trials that go on: with more than ``at_least`` of them, those no worse than the median of the running means."""
+    if len(errors) <= at_least:
+        return list(errors)
+    means = {n: sum(e for e in es if e is not None) / max(1, sum(e is not None for e in es)) for n, es in errors.items()}
+    middle = sorted(means.values())[(len(means) - 1) // 2]
+    return [n for n in errors if means[n] <= middle]
+
+
 def search(
     blocks: DataFrame,
     feature_cols: list[str],
@@ -79,29 +89,54 @@ def search(
     algo: str,
     trials: list[dict],
     folds: int = 5,
+    parallel: int = 4,
+    prune_above: int = 4,
 ) -> DataFrame:
     """Mean validation rmse per trial over expanding folds; one row per trial.
 
-    ``blocks`` carries ``cv_block``. The assembled rows are checkpointed once and every fit reads
-    them; each fit is itself a distributed job, so the loop runs over trials and folds only.
+    ``blocks`` carries ``cv_block``. The assembled rows are checkpointed once and every fit reads them. Fits are
+    distributed jobs; ``parallel`` of them run at a time, each in a pool of its own where the scheduler is fair. Fold by fold, the worse
+    half of more than ``prune_above`` trials is given up, which does not depend on the order in which fits end. A trial that was
+    given up has fewer ``folds_done`` and no ``cv_rmse``.
     """
-    ready = checkpointed(assemble(blocks, feature_cols).select("features", target, "cv_block"))
     spark = blocks.sparkSession
+    ready = checkpointed(assemble(blocks, feature_cols).select("features", target, "cv_block"))
+
+    def fold_error(number: int, fold: int) -> float | None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{number % parallel}")
+        model = estimator(algo, target, trials[number]).fit(fold_train(ready, fold))
+        return model.transform(fold_validate(ready, fold)).agg(scores.rmse(target, "prediction")).first()[0]
+
+    errors: dict[int, list[float | None]] = {n: [] for n in range(len(trials))}
+    live = list(errors)
+    with ThreadPoolExecutor(parallel) as pool:
+        for fold in range(folds):
+            for number, error in zip(live, pool.map(inheritable_thread_target(spark)(lambda n: fold_error(n, fold)), live)):
+                errors[number].append(error)
+            if fold < folds - 1:
+                live = _prune({n: errors[n] for n in live}, prune_above)
     results = []
     for number, params in enumerate(trials):
-        errors = []
-        for fold in range(folds):
-            model = estimator(algo, target, params).fit(fold_train(ready, fold))
-            scored = model.transform(fold_validate(ready, fold))
-            errors.append(scored.agg(scores.rmse(target, "prediction")).first()[0])
-        known = [e for e in errors if e is not None]
-        mean = sum(known) / len(known) if known else None
-        results.append((number, algo, {k: float(v) for k, v in params.items()}, mean))
+        known = [e for e in errors[number] if e is not None]
+        mean = sum(known) / len(known) if known and number in live else None
+        results.append((number, algo, {k: float(v) for k, v in params.items()}, mean, len(errors[number])))
     return spark.createDataFrame(
-        results, "trial_number INT, model_algo STRING, params MAP<STRING, DOUBLE>, cv_rmse DOUBLE"
+        results, "trial_number INT, model_algo STRING, params MAP<STRING, DOUBLE>, cv_rmse DOUBLE, folds_done INT"
     )
 
 
+def best_trial(found: DataFrame) -> int | None:
+    """Number of the trial with the smallest error, the first of equals; None where no trial has one."""
+    best = found.where(F.col("cv_rmse").isNotNull()).orderBy("cv_rmse", "trial_number").select("trial_number").first()
+    return None if best is None else best[0]
+
+
+def refit(train_rows: DataFrame, test_rows: DataFrame, feature_cols: list[str], target: str, algo: str, params: dict) -> tuple[Model, DataFrame]:
+    """The model of one setting on the whole train part, and the test rows with its ``prediction``."""
+    model = train(train_rows, feature_cols, target, algo, params)
+    return model, predict(model, test_rows, feature_cols)
+
+
 def grid(**values) -> list[dict]:
     """Every combination of the given parameter values."""
     names = list(values)

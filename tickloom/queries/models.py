@@ -44,40 +44,46 @@ def train_rf(spark, sf):
 
 @query("train_gbt")
 def train_gbt(spark, sf):
-    return _train_and_score(spark, sf, "gbt", {"maxIter": 10, "maxDepth": 4})
+    """Boosted trees with the operator's defaults, 20 rounds of depth 6."""
+    return _train_and_score(spark, sf, "gbt")
 
 
-@query("param_search")
-def param_search(spark, sf):
-    """Two sampled forests over three expanding folds (a short search; trials and folds are parameters)."""
-    train, _ = _split(spark, sf)  # the test part stays unseen
-    rows = s.cv_blocks(train.drop("row_idx"), folds=3)
-    trials = [{**p, "numTrees": 10, "maxDepth": min(p["maxDepth"], 5)} for p in m.sample_params("random_forest", 2)]
-    return m.search(rows, COLUMNS, TARGET, "random_forest", trials, folds=3).withColumn("params", F.to_json("params"))
+def _search(spark, sf):
+    """(train, test, sampled settings, search table): two forests as sampled, over three expanding folds."""
+    train, test = (checkpointed(part) for part in _split(spark, sf))  # the test part stays unseen
+    trials = m.sample_params("random_forest", 2)
+    found = m.search(s.cv_blocks(train.drop("row_idx"), folds=3), COLUMNS, TARGET, "random_forest", trials, folds=3)
+    return train, test, trials, found
 
 
-def _small_forest(train):
-    return m.train(train, COLUMNS, TARGET, "random_forest", {"numTrees": 20, "maxDepth": 5})
+@query("param_search")
+def param_search(spark, sf):
+    """Errors of the trials, and the scores of the best one after a refit on the train part, on the test part."""
+    train, test, trials, found = _search(spark, sf)
+    best = m.best_trial(found)
+    _, scored = m.refit(train, test, COLUMNS, TARGET, "random_forest", trials[best])
+    scores = score_table(scored, TARGET, "prediction", clip=1e-10).withColumn("trial_number", F.lit(best))
+    return found.withColumn("params", F.to_json("params")).join(F.broadcast(scores), "trial_number", "left")
 
 
 @query("importance")
 def importance(spark, sf):
     train, _ = _split(spark, sf)
-    return m.built_in_importance(_small_forest(train), spark, COLUMNS)
+    return m.built_in_importance(m.train(train, COLUMNS, TARGET, "random_forest"), spark, COLUMNS)
 
 
 @query("permutation_importance")
 def permutation_importance(spark, sf):
     """Prediction change per feature over the whole test part."""
     train, test = _split(spark, sf)
-    return m.permutation_contributions(_small_forest(train), test.drop("row_idx"), COLUMNS, ["open_time", "symbol"])
+    return m.permutation_contributions(m.train(train, COLUMNS, TARGET, "random_forest"), test.drop("row_idx"), COLUMNS, ["open_time", "symbol"])
 
 
 @query("model_explanations")
 def model_explanations(spark, sf):
     """Both kinds of explanation in the explanations-table layout."""
     train, test = _split(spark, sf)
-    model = _small_forest(train)
+    model = m.train(train, COLUMNS, TARGET, "random_forest")
     contributions = m.permutation_contributions(model, test.drop("row_idx"), COLUMNS, ["open_time", "symbol"])
     versions = {"features_table_version": 2, "feature_config_id": 7}
     rows = m.explanation_rows(m.built_in_importance(model, spark, COLUMNS), contributions, "run-1", "random_forest", versions, base.newest_event(spark, sf))
