@@ -1,4 +1,4 @@
-"""The three recurring runs over versioned tables: hourly, drift check, model refresh.
+"""The recurring runs over versioned tables: the hourly run, the drift check, and the training set of a refresh.
 
 Every step is an operator of this library between two tables; nothing is carried on the driver but
 version numbers and the decision of the gate.
