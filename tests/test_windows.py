@@ -129,3 +129,23 @@ def test_stored_index_splits_one_hot_timestamp(spark, hours):
     df = spark.range(20000).select(F.lit(hours(0)).cast("timestamp_ntz").alias("t"), F.col("id").alias("k"))
     got = stored_row_index(df.repartition(8), ["t", "k"])
     assert got.where("row_idx <> k").count() == 0
+
+
+@pytest.mark.parametrize("split_above, at_most", [(0, 2), (100, 4)])
+def test_blocks_evaluate_their_input_a_fixed_number_of_times(spark, hours, split_above, at_most):
+    """However often the buckets are narrowed, the input itself is evaluated once for them and once for the result."""
+    passes = spark.sparkContext.accumulator(0)
+    n = 3000
+
+    def counted(batches):
+        for batch in batches:
+            passes.add(batch.num_rows)
+            yield batch
+
+    source = spark.range(n).select(F.lit("a").alias("k"), (F.lit(hours(0)) + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)"))).alias("t"), "id")
+    rows = source.mapInArrow(counted, source.schema)
+    plan = BlockPlan(lookback=3, block_rows=64, split_above=split_above)
+    built = over_series(rows, ["k"], "t", lambda df, w: df.withColumn("m", F.sum("id").over(w.trailing(3))), plan)
+    got = {r.id: r.m for r in built.collect()}
+    assert len(got) == n and all(got[i] == sum(range(max(0, i - 3), i)) for i in range(1, n))
+    assert passes.value <= at_most * n

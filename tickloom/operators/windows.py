@@ -70,6 +70,14 @@ def long_series(df: DataFrame, keys: list[str], plan: BlockPlan) -> DataFrame:
     return counts.where(F.col("_rows") > plan.split_above).select(*keys)
 
 
+def _cut_rows(df: DataFrame, keys: list[str], time: str, plan: BlockPlan) -> DataFrame:
+    """Keys and times of the series to cut, stored: widths and starts of the buckets are found from it, not from the input."""
+    rows = df.select(*keys, time)
+    if plan.split_above > 0:
+        return checkpointed(rows.join(long_series(df, keys, plan), keys, "left_semi"))
+    return checkpointed(rows.dropna(subset=keys))
+
+
 def fitted(rows: DataFrame, keys: list[str], time: str, plan: BlockPlan) -> BlockPlan:
     """The plan with buckets narrow enough for ``rows``: none holds more than ``block_rows - lookback`` rows.
 
@@ -95,7 +103,7 @@ def assign_blocks(df: DataFrame, keys: list[str], time: str, plan: BlockPlan) ->
     target goes to the block that holds the time ``ahead`` before it. Series that stay whole (and rows
     without a key) are block 0.
     """
-    rows = df.select(*keys, time).join(long_series(df, keys, plan), keys, "left_semi")
+    rows = _cut_rows(df, keys, time, plan)
     plan = fitted(rows, keys, time, plan)
     size = plan.block_rows
     block = F.expr(f"_start div {size}")
