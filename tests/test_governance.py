@@ -1,5 +1,6 @@
 """Splits, folds, promotion, replay, models and scoring."""
 
+import re
 from datetime import datetime
 
 import pytest
@@ -165,6 +166,14 @@ def test_models_learn_and_explain(spark, hours):
     parts = m.permutation_contributions(forest, df, cols, ["open_time", "symbol"])
     got = {r.feature: r for r in parts.collect()}
     assert got["noise"].mean_abs_shap == 0 and got["x"].mean_abs_shap > got["z"].mean_abs_shap and got["x"].sample_rows == 200
+    # Only features x tasks are shuffled after scoring, and the values are those of single swaps.
+    plan = parts.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(j", plan)) == 1 and "Aggregate(keys=[row_idx" not in plan
+    flat = df.orderBy("open_time", "symbol").collect()
+    half = len(flat) // 2
+    swapped = [(r.x, flat[(i - half) % len(flat)].z, r.noise, i) for i, r in enumerate(flat)]
+    both = [{r.i: r.prediction for r in m.predict(forest, spark.createDataFrame(rows, "x DOUBLE, z DOUBLE, noise DOUBLE, i INT"), cols).collect()} for rows in (swapped, [(r.x, r.z, r.noise, i) for i, r in enumerate(flat)])]
+    assert got["z"].mean_abs_shap == pytest.approx(sum(abs(both[1][i] - both[0][i]) for i in both[0]) / len(flat))
     rows = m.explanation_rows(m.built_in_importance(forest, spark, cols), parts, "r", "random_forest", {"feature_config_id": 7}, datetime(2025, 1, 1))
     assert rows.count() == 6 and rows.columns == schemas.struct_of(schemas.EXPLANATIONS).names
 

@@ -160,8 +160,9 @@ def permutation_contributions(
 
     Each row borrows the replacement values from the row half the table away (by exact row index), a
     fixed permutation that keeps every column's distribution. One equi-join on the index pairs the
-    rows; one scoring pass covers the original and every replaced vector. ``sample_rows`` keeps the
-    first rows by ``order``, as the explanation sample does; the default explains all rows.
+    rows; the replaced vectors of a row are scored beside its own prediction and added up by feature.
+    ``sample_rows`` keeps the first rows by ``order``, as the explanation sample does; the default explains
+    all rows. Without rows there is no result.
     """
     rows = df.select(*order, *[c for c in feature_cols if c not in order]).dropna()
     if sample_rows is not None:
@@ -177,28 +178,18 @@ def permutation_contributions(
     swapped = lambda i: F.transform(
         "own", lambda x, j: F.when(j == i, F.element_at("lent", i + 1)).otherwise(x)
     )
-    variants = [F.struct(F.lit(-1).alias("j"), F.col("own").alias("x"))] + [
-        F.struct(F.lit(i).alias("j"), swapped(i).alias("x")) for i in range(len(feature_cols))
-    ]
-    scored = paired.select("row_idx", F.inline(F.array(*variants))).select(
-        "row_idx", "j", array_to_vector("x").alias("features")
+    # The row's own prediction stays in the row, so a replaced vector needs no partner: only one row per feature and task is shuffled.
+    based = model.transform(paired.select("own", "lent", array_to_vector("own").alias("features")))
+    based = based.select("own", "lent", F.col("prediction").alias("base"))
+    variants = [F.struct(F.lit(i).alias("j"), swapped(i).alias("x")) for i in range(len(feature_cols))]
+    listed = based.select("base", F.inline(F.array(*variants))).select("base", "j", array_to_vector("x").alias("features"))
+    change = F.col("base") - F.col("prediction")
+    return (
+        model.transform(listed)
+        .groupBy("j")
+        .agg(F.avg(F.abs(change)).alias("mean_abs_shap"), F.avg(change).alias("mean_shap"), F.count("*").alias("sample_rows"))
+        .select(F.get(F.array(*map(F.lit, feature_cols)), F.col("j")).alias("feature"), "mean_abs_shap", "mean_shap", "sample_rows")
     )
-    scored = model.transform(scored).select("row_idx", "j", "prediction")
-    base = F.max(F.when(F.col("j") == -1, F.col("prediction")))
-    changes = scored.groupBy("row_idx").agg(
-        base.alias("base"),
-        *[F.max(F.when(F.col("j") == i, F.col("prediction"))).alias(f"p{i}") for i in range(len(feature_cols))],
-    )
-    cells = [
-        F.struct(
-            F.lit(name).alias("feature"),
-            F.avg(F.abs(F.col("base") - F.col(f"p{i}"))).alias("mean_abs_shap"),
-            F.avg(F.col("base") - F.col(f"p{i}")).alias("mean_shap"),
-            F.count("*").alias("sample_rows"),
-        )
-        for i, name in enumerate(feature_cols)
-    ]
-    return changes.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
 def explanation_rows(
