@@ -3,6 +3,7 @@
 import math
 import random
 from datetime import datetime, timedelta
+from itertools import combinations
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -88,6 +89,24 @@ def test_greedy_pruning_skips_pairs_already_touched(spark):
     assert stats.prune_collinear(pairs, rank, 0.999).first().dropped == []
 
 
+@pytest.mark.parametrize("seed,names,share", [(1, 12, 0.9), (2, 40, 0.2), (3, 60, 1.0), (4, 25, 0.5)])
+def test_pruning_in_rounds_equals_the_fold(spark, seed, names, share):
+    rng = random.Random(seed)
+    features = [f"f{i:02d}" for i in range(names)]
+    rank = [(f, float(rng.randrange(names // 2))) for f in features]  # ties
+    pairs = [(a, b, rng.choice([-1, 1]) * rng.choice([0.91, 0.95, 0.99, 0.5]), 0.0) for a, b in combinations(features, 2) if rng.random() < share]
+    pairs = [(a, b, c, abs(c)) for a, b, c, _ in pairs]
+    order, dropped = dict(rank), []
+    for a, b, _, size in sorted(pairs, key=lambda p: (-p[3], p[0], p[1])):
+        if size >= 0.9 and a not in dropped and b not in dropped:
+            dropped.append(b if order[a] <= order[b] else a)
+    ranking = spark.createDataFrame([(f, r, 0.5) for f, r in rank], "feature STRING, avg_rank DOUBLE, mi DOUBLE")
+    table = spark.createDataFrame(pairs, "feature_1 STRING, feature_2 STRING, correlation DOUBLE, abs_correlation DOUBLE")
+    assert stats.prune_collinear(table, ranking, 0.9).first().dropped == dropped
+    decided = {r.feature: r.decision for r in stats.select_features(ranking, table, 0.9).collect()}
+    assert decided == {f: "collinear" if f in dropped else "keep" for f in features}
+
+
 def test_mutual_information_of_a_copy_is_the_bin_entropy(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("x"), F.col("id").cast("double").alias("y"), F.lit(1.0).alias("c"))
     got = {r.feature: r.mi for r in stats.mutual_information(df, ["x", "c"], "y").collect()}

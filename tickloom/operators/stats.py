@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
@@ -10,6 +11,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.operators.drift import bucket_of, cut_points, to_long
+from tickloom.session import checkpointed
 
 # Selection thresholds (fixed values).
 CORR_THRESHOLD = 0.90
@@ -84,41 +86,53 @@ def rank_features(mi: DataFrame, importance: DataFrame) -> DataFrame:
     return ranked.withColumn("avg_rank", (F.col("rank_mi") + F.col("rank_importance")) / 2)
 
 
-def prune_collinear(pairs: DataFrame, ranking: DataFrame, threshold: float = CORR_THRESHOLD) -> DataFrame:
-    """One row with the features to drop, worst pair first.
+def collinear_losers(pairs: DataFrame, ranking: DataFrame, threshold: float = CORR_THRESHOLD) -> DataFrame:
+    """(feature, at): the features to drop, each with the pair that drops it as an order value, worst pair first.
 
-    Of each pair the worse-ranked feature goes, unless the pair already lost one. The rule is
-    sequential, so the pairs (at most columns^2 of them, all derived from column names) are folded as
-    one sorted array inside Spark.
+    Pairs are taken in descending correlation, then by name; of each the worse-ranked feature goes, unless the pair
+    already lost one. The outcome of a pair depends only on stronger pairs that could drop one of its two features, so every
+    round decides all pairs that no undecided stronger one of that kind touches, and then leaves out the pairs of dropped
+    features. The strongest undecided pair is always among them, so the rounds end; their number is the longest chain of
+    such dependences, not the number of pairs. Each round is a few aggregates and joins over the undecided pairs.
     """
     rank = ranking.select("feature", "avg_rank")
-    loser = F.when(F.col("rank_1") <= F.col("rank_2"), F.col("feature_2")).otherwise(F.col("feature_1"))
-    ranked = (
+    first_wins = F.col("rank_1") <= F.col("rank_2")
+    open_pairs = checkpointed(
         pairs.where(F.col("abs_correlation") >= threshold)
         .join(rank.toDF("feature_1", "rank_1"), "feature_1")
         .join(rank.toDF("feature_2", "rank_2"), "feature_2")
         .select(
-            F.struct(
-                (-F.col("abs_correlation")).alias("o"), "feature_1", "feature_2", loser.alias("loser")
-            ).alias("p")
+            F.struct((-F.col("abs_correlation")).alias("o"), "feature_1", "feature_2").alias("at"),
+            F.when(first_wins, F.col("feature_1")).otherwise(F.col("feature_2")).alias("winner"),
+            F.when(first_wins, F.col("feature_2")).otherwise(F.col("feature_1")).alias("loser"),
         )
     )
-    step = lambda out, p: F.when(
-        F.array_contains(out, p["feature_1"]) | F.array_contains(out, p["feature_2"]), out
-    ).otherwise(F.array_append(out, p["loser"]))
-    return ranked.agg(F.sort_array(F.collect_list("p")).alias("pairs")).select(
-        F.aggregate("pairs", F.array().cast("array<string>"), step).alias("dropped")
-    )
+    dropped = []
+    while not open_pairs.isEmpty():
+        # The strongest undecided pair that could drop each feature.
+        threat = open_pairs.groupBy("loser").agg(F.min("at").alias("at"))
+        strongest = open_pairs.join(threat, ["loser", "at"])
+        of_winner = threat.select(F.col("loser").alias("winner"), F.col("at").alias("winner_at"))
+        decided = strongest.join(of_winner, "winner", "left").where(F.col("winner_at").isNull() | (F.col("winner_at") > F.col("at")))
+        gone = checkpointed(decided.select(F.col("loser").alias("feature"), "at"))
+        dropped.append(gone)
+        side = lambda name: gone.select(F.col("feature").alias(name), F.col("at").alias(f"{name}_gone"))
+        left = open_pairs.join(side("winner"), "winner", "left").join(side("loser"), "loser", "left")
+        alive = lambda name: F.col(f"{name}_gone").isNull() | (F.col(f"{name}_gone") > F.col("at"))
+        open_pairs = checkpointed(left.where(alive("winner") & alive("loser")).select("at", "winner", "loser"))
+    return reduce(DataFrame.unionByName, dropped, open_pairs.select(F.col("loser").alias("feature"), "at").limit(0))
+
+
+def prune_collinear(pairs: DataFrame, ranking: DataFrame, threshold: float = CORR_THRESHOLD) -> DataFrame:
+    """One row with the features to drop, worst pair first."""
+    ordered = F.sort_array(F.collect_list(F.struct("at", "feature")))
+    return collinear_losers(pairs, ranking, threshold).agg(F.transform(ordered, lambda x: x["feature"]).alias("dropped"))
 
 
 def select_features(
     ranking: DataFrame, pairs: DataFrame, corr_threshold: float = CORR_THRESHOLD, mi_threshold: float = MI_THRESHOLD
 ) -> DataFrame:
     """The ranking with a ``decision`` per feature: keep, collinear or low_mi."""
-    dropped = prune_collinear(pairs, ranking, corr_threshold).scalar()
-    decision = (
-        F.when(F.array_contains(dropped, F.col("feature")), "collinear")
-        .when(F.col("mi") < mi_threshold, "low_mi")
-        .otherwise("keep")
-    )
-    return ranking.withColumn("decision", decision)
+    dropped = collinear_losers(pairs, ranking, corr_threshold).select("feature", F.lit(True).alias("_dropped"))
+    decision = F.when(F.col("_dropped"), "collinear").when(F.col("mi") < mi_threshold, "low_mi").otherwise("keep")
+    return ranking.join(dropped, "feature", "left").withColumn("decision", decision).drop("_dropped")
