@@ -6,19 +6,24 @@ version numbers and the decision of the gate.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tickloom.operators.govern import dataset_manifest
-from tickloom.operators.indicators import HORIZON, KEYS, TIME, drop_warmup, features_since, full_features
+from tickloom.operators.indicators import FULL_LOOKBACK, HORIZON, KEYS, TIME, drop_warmup, features_since, full_features
 from tickloom.operators.predict import score_latest
 from tickloom.operators.quality import require_rows
 from tickloom.operators.split import complete_rows, temporal_split
+from tickloom.operators.windows import last_rows
 from tickloom.plans import gate, monitor
+from tickloom.plans.recent import recent_pair
 from tickloom.schemas import METRICS, conform
-from tickloom.sources.snapshots import NO_DAY, UNKNOWN_DAY, SnapshotTable, union_all
+from tickloom.sources.snapshots import NO_DAY, UNKNOWN_DAY, SnapshotTable, remove_folder, union_all
 from tickloom.streaming.ingest import IngestPaths, start_ingest
 
 
@@ -29,8 +34,8 @@ class Tables:
     spark: SparkSession
     root: str
 
-    def _table(self, name: str, time: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root.rstrip('/')}/{name}", time)
+    def _table(self, name: str, time: str, newest_of: str | None = None) -> SnapshotTable:
+        return SnapshotTable(self.spark, f"{self.root.rstrip('/')}/{name}", time, newest_of)
 
     @property
     def raw(self) -> SnapshotTable:
@@ -42,7 +47,7 @@ class Tables:
 
     @property
     def predictions(self) -> SnapshotTable:
-        return self._table("predictions", "feature_open_time")
+        return self._table("predictions", "feature_open_time", "prediction_time")
 
     def versions(self) -> dict:
         tables = {"raw": self.raw, "features": self.features, "predictions": self.predictions}
@@ -55,31 +60,89 @@ class Tables:
         return self.spark.read.parquet(f"{self.root.rstrip('/')}/{name}")
 
 
-_BUILDS = "features_version BIGINT, raw_version BIGINT"
+_BUILDS = "features_version BIGINT, raw_version BIGINT, tail STRING, tail_day STRING"
 
 
-def refresh_features(tables: Tables, keys: list[str] | None = None, full: bool = False) -> int:
-    """Merge the feature rows that newer raw versions can change; new columns join the table.
+@dataclass(frozen=True)
+class Build:
+    """Feature rows to merge, and the state that the next build starts from.
 
-    Starts one horizon before the earliest raw day written since the last build (its last row gets
-    its target now), so an hourly run touches a day or two and not the history. ``full`` rebuilds all.
+    ``tail`` holds, of every series, the newest raw rows before one horizon ahead of ``tail_day``, as many as the longest frame
+    reaches back. ``raw_version`` is the version that both were made from; ``previous`` is the build before.
+    """
+
+    rows: DataFrame
+    tail: DataFrame | None
+    tail_day: str | None
+    raw_version: int
+    previous: Row | None
+
+
+def _start(bars: DataFrame, day: str) -> Column:
+    """One horizon before a day, as a value of the table's time column."""
+    return (F.to_timestamp(F.lit(day)) - F.lit(HORIZON)).cast(bars.schema[TIME].dataType)
+
+
+def _tail(bars: DataFrame, day: str, keys: list[str]) -> DataFrame:
+    return last_rows(bars.where(F.col(TIME) < _start(bars, day)), keys, TIME, FULL_LOOKBACK)
+
+
+def _last_build(tables: Tables) -> Row | None:
+    try:
+        log = tables.spark.read.schema(_BUILDS).parquet(f"{tables.root.rstrip('/')}/feature_builds")
+    except AnalysisException:
+        return None
+    newest = F.max_by(F.struct(*log.columns), F.struct("raw_version", "features_version"))
+    return log.agg(newest.alias("b")).first().b
+
+
+def pending_build(tables: Tables, keys: list[str] | None = None, full: bool = False) -> Build | None:
+    """What the raw versions since the last build change; None where there are none.
+
+    Rows from one horizon before the earliest raw day written since then are built anew (the last row before that day gets its target
+    now). What their frames look back on comes from the stored tail and the days after it, so an hourly build reads a day
+    or two however long the history is. A correction older than the tail reads the history once and moves the tail back; the next build
+    moves it forward again. ``full`` builds all rows.
     """
     keys = KEYS if keys is None else keys
-    built = None
-    if tables.features.exists() and not full:
-        built = tables.log("feature_builds").agg(F.max("raw_version")).first()[0]
+    last = _last_build(tables) if tables.features.exists() else None
     raw_version = tables.raw.latest_version()
-    if built == raw_version:
-        return tables.features.latest_version()
-    raw = tables.raw.read(raw_version)
-    day = tables.raw.first_day_after(built) if built is not None else None
+    if last is not None and not full and last.raw_version == raw_version:
+        return None
+    day = tables.raw.first_day_after(last.raw_version) if last is not None and not full else None
     if day is None or day in (UNKNOWN_DAY, NO_DAY):
-        rows = full_features(raw, keys)
+        bars = tables.raw.read(raw_version)
+        days = tables.raw.days()
+        if not days:
+            return Build(full_features(bars, keys), None, None, raw_version, last)
+        return Build(full_features(bars, keys), _tail(bars, days[-1].day, keys), days[-1].day, raw_version, last)
+    if last.tail_day is not None and last.tail_day <= day:
+        since = tables.raw.read_days((datetime.fromisoformat(last.tail_day) - HORIZON).date().isoformat())
+        bars = tables.spark.read.parquet(last.tail).unionByName(since.where(F.col(TIME) >= _start(since, last.tail_day)), allowMissingColumns=True)
     else:
-        start = F.to_timestamp(F.lit(day)) - F.lit(HORIZON)
-        rows = features_since(raw, start.cast(raw.schema[TIME].dataType), keys)
-    version = tables.features.upsert(drop_warmup(rows), [*keys, TIME], unique=True)
-    tables.append("feature_builds", tables.spark.createDataFrame([(version, raw_version)], _BUILDS))
+        bars = tables.raw.read(raw_version)
+    return Build(features_since(bars, _start(bars, day), keys), _tail(bars, day, keys), day, raw_version, last)
+
+
+def refresh_features(tables: Tables, keys: list[str] | None = None, full: bool = False) -> int:
+    """Merge the feature rows that newer raw versions can change; new columns join the table.
+
+    The log row names the tail, so a stop before it leaves the last build's tail in use: the next run does the
+    same work again and merges the same rows.
+    """
+    keys = KEYS if keys is None else keys
+    build = pending_build(tables, keys, full)
+    if build is None:
+        return tables.features.latest_version()
+    version = tables.features.upsert(drop_warmup(build.rows), [*keys, TIME], unique=True)
+    folder = None
+    if build.tail is not None:
+        folder = f"{tables.root.rstrip('/')}/tails/{uuid.uuid4().hex}"
+        build.tail.write.parquet(folder)
+    tables.append("feature_builds", tables.spark.createDataFrame([(version, build.raw_version, folder, build.tail_day)], _BUILDS))
+    before = build.previous
+    if before is not None and before.tail is not None and (before.raw_version, before.features_version) < (build.raw_version, version):
+        remove_folder(tables.spark, before.tail)
     return version
 
 
@@ -120,12 +183,13 @@ def drift_check(
     """Append drift and performance metrics, then the gate's decision. Returns the decision row."""
     versions = tables.versions()
     features, predictions = tables.features.read(), tables.predictions.read()
+    judged, bars = recent_pair(tables.predictions, tables.raw, KEYS)
     found = union_all(
         [
             monitor.feature_drift_metrics(features, as_of, versions=versions),
             monitor.prediction_drift_metrics(predictions, as_of, versions=versions),
             monitor.performance_metrics(
-                predictions, tables.raw.read(), KEYS, as_of, versions=versions, min_valid=min_valid, series=[*KEYS, "model_uri"]
+                judged, bars, KEYS, as_of, versions=versions, min_valid=min_valid, series=[*KEYS, "model_uri"]
             ),
         ]
     )

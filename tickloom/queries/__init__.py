@@ -5,6 +5,7 @@ from __future__ import annotations
 from tickloom.queries import (  # noqa: F401  (importing a module registers its queries)
     drift,
     features,
+    flows,
     forecast,
     governance,
     ingest,

@@ -123,15 +123,15 @@ def direction_c(spark, sf):
     return rounded(marked.groupBy("model_uri").agg(scores.share_true(F.col("same_move")).alias("accuracy")))
 
 
-@query(
-    "performance_recent",
-    f"""WITH {SQL_SCORED}, recent AS (SELECT * FROM scored WHERE prediction_time > (SELECT max(prediction_time) FROM scored) - INTERVAL 168 HOUR),
+SQL_PERFORMANCE = f"""WITH {SQL_SCORED}, recent AS (SELECT * FROM scored WHERE prediction_time > (SELECT max(prediction_time) FROM scored) - INTERVAL 168 HOUR),
     valid AS (SELECT * FROM recent WHERE predicted_close > 1.0), {_MOVES.format(source='valid')}
     SELECT (SELECT count(*) FROM recent) AS joined, (SELECT count(*) FROM valid) AS scored, (SELECT count(*) FROM recent WHERE predicted_close <= 1.0) AS invalid,
       {sql_r6('sqrt(avg((actual_close - predicted_close) ** 2))', 'rmse')}, {sql_r6('avg(abs_error)', 'mae')}, {sql_r6('avg(pct_error)', 'mape')},
       {sql_r6('avg(actual_close - predicted_close)', 'mean_error')}, {sql_r6('quantile_disc(abs_error, 0.95)', 'p95_abs_error')},
-      (SELECT {sql_r6('avg(CASE WHEN a = p THEN 1.0 ELSE 0.0 END)')} FROM moves WHERE a IS NOT NULL AND p IS NOT NULL) AS direction_accuracy FROM valid""",
-)
+      (SELECT {sql_r6('avg(CASE WHEN a = p THEN 1.0 ELSE 0.0 END)')} FROM moves WHERE a IS NOT NULL AND p IS NOT NULL) AS direction_accuracy FROM valid"""
+
+
+@query("performance_recent", SQL_PERFORMANCE)
 def performance_recent(spark, sf):
     raw, _, predictions = base.stored_tables(spark, sf)
     facts = monitor.performance_facts(

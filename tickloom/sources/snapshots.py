@@ -8,6 +8,9 @@ upsert rewrites the touched days, not the table. One writer at a time is assumed
 A write may name its batch, which the index keeps: a batch that is published already is not written again, and its
 version is returned. A write without rows publishes nothing, except that a first version keeps the columns.
 
+The index may also keep, for every day written, the newest value of a second time column (``newest_of``), so that a
+reader who wants the newest rows by that column can tell which days to read.
+
 Layout: ``root/data/ATTEMPT/day=YYYY-MM-DD/*.parquet`` and ``root/index/*.parquet``.
 """
 
@@ -16,14 +19,15 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from tickloom.operators.dedup import duplicate_keys
 from tickloom.operators.upsert import grow_columns, upsert
 from tickloom.session import checkpointed
 
-_INDEX = "version BIGINT, day STRING, committed_at TIMESTAMP, folder STRING, batch STRING"
+_INDEX = "version BIGINT, day STRING, committed_at TIMESTAMP, folder STRING, batch STRING, newest TIMESTAMP"
 # Days of rows without a time, and of a first version without rows.
 UNKNOWN_DAY, NO_DAY = "unknown", "none"
 
@@ -31,8 +35,8 @@ UNKNOWN_DAY, NO_DAY = "unknown", "none"
 class SnapshotTable:
     """A table whose rows have a time column; ``day`` folders come from it."""
 
-    def __init__(self, spark: SparkSession, root: str, time: str = "open_time"):
-        self.spark, self.root, self.time = spark, root.rstrip("/"), time
+    def __init__(self, spark: SparkSession, root: str, time: str = "open_time", newest_of: str | None = None):
+        self.spark, self.root, self.time, self.newest_of = spark, root.rstrip("/"), time, newest_of
 
     def _day(self):
         return F.coalesce(F.date_format(self.time, "yyyy-MM-dd"), F.lit(UNKNOWN_DAY))
@@ -40,7 +44,7 @@ class SnapshotTable:
     # -- metadata ---------------------------------------------------------------------------
 
     def index(self) -> DataFrame:
-        """(version, day, committed_at, folder, batch); empty before the first version."""
+        """(version, day, committed_at, folder, batch, newest); empty before the first version."""
         try:
             return self.spark.read.schema(_INDEX).parquet(f"{self.root}/index")
         except AnalysisException:
@@ -83,6 +87,24 @@ class SnapshotTable:
             raise ValueError(f"version {version} of {self.root} is not available")
         return self.spark.read.option("mergeSchema", True).parquet(*self._paths(self.index().where(F.col("version") <= version)))
 
+    def days(self) -> list[Row]:
+        """(day, newest) of every day with rows that have a time, in order; ``newest`` is NULL where it was not kept."""
+        rows = self.index().where(~F.col("day").isin(UNKNOWN_DAY, NO_DAY))
+        return rows.groupBy("day").agg(F.max_by("newest", "version").alias("newest")).sort("day").collect()  # one row a day
+
+    def read_days(self, first: str, last: str | None = None) -> DataFrame:
+        """The newest rows of the days from ``first`` to ``last``; only their folders are listed.
+
+        Without such a day the result is empty, with the columns of one of the other days.
+        """
+        known = self.index().where(~F.col("day").isin(UNKNOWN_DAY, NO_DAY))
+        wanted = F.col("day") >= first if last is None else F.col("day").between(first, last)
+        paths = self._paths(known.where(wanted))
+        if paths:
+            return self.spark.read.option("mergeSchema", True).parquet(*paths)
+        one = self.index().agg(F.max_by(F.struct("day", "folder"), "version").alias("d")).select("d.*")
+        return self.spark.read.parquet(*[f"{self.root}/data/{r.folder}/day={r.day}" for r in one.collect()]).limit(0)
+
     # -- writing ----------------------------------------------------------------------------
 
     def _publish(self, df: DataFrame, batch: str | None = None) -> int:
@@ -94,12 +116,14 @@ class SnapshotTable:
         sized = df.withColumn("day", self._day()).hint("rebalance", "day")
         sized.write.partitionBy("day").parquet(path)
         # The schema is given, as a folder without files has none to infer.
-        written = self.spark.read.schema("day STRING").parquet(path).select("day").distinct()
+        tracked = [f for f in df.schema.fields if f.name == self.newest_of]
+        newest = F.max(self.newest_of) if tracked else F.lit(None)
+        written = self.spark.read.schema(StructType([StructField("day", StringType()), *tracked])).parquet(path).groupBy("day").agg(newest.cast("timestamp").alias("newest"))
         if written.limit(1).count() == 0:
             if latest is not None:
                 return latest
             df.limit(0).write.parquet(f"{path}/day={NO_DAY}")
-            written = self.spark.createDataFrame([(NO_DAY,)], "day STRING")
+            written = self.spark.createDataFrame([(NO_DAY, None)], "day STRING, newest TIMESTAMP")
         version = 0 if latest is None else latest + 1
         rows = written.select(
             F.lit(version).cast("bigint").alias("version"),
@@ -107,6 +131,7 @@ class SnapshotTable:
             F.current_timestamp().alias("committed_at"),
             F.lit(folder).alias("folder"),
             F.lit(batch).cast("string").alias("batch"),
+            "newest",
         )
         rows.coalesce(1).write.mode("append").parquet(f"{self.root}/index")
         return version
@@ -159,6 +184,12 @@ def version_availability(required: DataFrame, available: DataFrame, min_retentio
     )
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the file system that its path names; one that is gone is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.operators.quality import batch_summary, split_valid
 from tickloom.operators.upsert import retain_recent
 from tickloom.sources.landing import BAR_KEYS, newest_load, parse_landing, read_landing_stream
-from tickloom.sources.snapshots import SnapshotTable
+from tickloom.sources.snapshots import SnapshotTable, remove_folder
 
 
 class BadBatch(ValueError):
@@ -131,7 +131,6 @@ def remove_expired(spark: SparkSession, paths: IngestPaths, as_of, hours: int =
     expired = expired_batches(staging, as_of, hours).where(F.col("batch_id") <= done)
     removed = []
     for row in expired.sort("batch_id").toLocalIterator():
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{paths.staging}/batch_id={row.batch_id}")
-        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+        remove_folder(spark, f"{paths.staging}/batch_id={row.batch_id}")
         removed.append(row.batch_id)
     return removed
