@@ -56,6 +56,13 @@ def test_little_to_learn_from(spark, awkward, no_rows):
     assert all(0 <= r.score <= 1 for r in quality.score(awkward, quality.fit(awkward, two)).collect())
 
 
+def test_repeated_rows_of_an_id_change_nothing(tables):
+    docs, labels = tables
+    known = {r.doc_id for r in labels.limit(50).collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
+    again = docs.where(docs.doc_id.isin(*known)).selectExpr("*", "explode(sequence(1, 300)) n").drop("n")
+    assert quality.fit(docs, labels) == quality.fit(docs.union(again), labels)
+
+
 def test_level_does_not_depend_on_the_number_of_labels(spark, monkeypatch):
     """Text that tells nothing: the score is the share of good labels, here 6 of 7, however many rows are sampled."""
     monkeypatch.setattr(quality, "ROWS", 150)

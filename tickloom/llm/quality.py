@@ -8,7 +8,7 @@ probability by a logistic curve fitted on labelled documents that the dictionari
 Fitting reads a bounded sample of labelled rows (``ROWS`` per label, in the order of a hash of their id,
 and ``PIECES`` pieces per label, likewise); scoring reads every whole text. The curve weighs a sampled row by the number of
 rows of its label that it stands for, so that the score is a probability under the labels' true shares at any size. An id with
-both labels is not used. A NULL text is empty, and an empty text gets the curve's value at no difference. With fewer than two labels to
+both labels is not used, and of the rows of one id the one whose text sorts first counts, so repeated rows change nothing. A NULL text is empty, and an empty text gets the curve's value at no difference. With fewer than two labels to
 learn from, the score is the share of good labels, or 0.5 without any. Only the text is an input of the score.
 """
 
@@ -24,7 +24,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.llm.common import slices, texts
+from tickloom.llm.common import slices, stored, texts
 
 ROWS = 6_000
 PIECES = 20_000
@@ -136,7 +136,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample = [ids.where(F.col("label") == q).select("id", "label", F.pmod(order, F.lit(3)).alias("fold")).orderBy(order, "id").limit(ROWS) for q in (_BAD, _GOOD)]
     # At most 2 * ROWS ids, so this side can be sent to every task.
     chosen = F.broadcast(sample[0].union(sample[1]))
-    known = texts(docs).join(chosen, F.col("doc_id") == F.col("id"))
+    # One row of each id, so that the bound is one of rows; stored, as three passes follow.
+    known = stored(texts(docs).join(chosen, F.col("doc_id") == F.col("id")).groupBy("id", "label", "fold").agg(F.min("text").alias("text")))
     rows = known.where(F.col("fold") > 0).select("label", "text").mapInArrow(_pieces, "label int, order bigint, piece binary")
     bounded = [rows.where(F.col("label") == q).orderBy("order", "piece").limit(PIECES) for q in (_BAD, _GOOD)]
     trained = bounded[0].union(bounded[1]).groupBy("label").applyInArrow(_train, "label int, dictionary binary")
@@ -146,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         share = ids.agg(F.avg("label")).first()[0]
         return Model(b"", b"", 0.0, 0.0 if share is None else float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     differ = partial(_differences, model=model)
-    pairs = known.where(F.col("fold") == 0).select("label", "text").mapInArrow(differ, "label int, difference double").collect()  # at most 2 * ROWS ids
+    pairs = known.where(F.col("fold") == 0).select("label", "text").mapInArrow(differ, "label int, difference double").collect()  # at most 2 * ROWS rows
     if not pairs:
         return model
     counts = {r.label: r.n for r in ids.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows at most
