@@ -1,6 +1,6 @@
 import re
 
-import pytest
+from pyspark.sql import functions as F
 
 from tickloom.llm import urls
 from tickloom.llm.registry import QUERIES, URL_RULES
@@ -42,16 +42,51 @@ def test_awkward_rows(spark):
         assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict in ("allow", "block") and verdict in (None, r.verdict)
     assert urls.judge(frame.limit(0), URL_RULES).count() == 0
     assert {r.verdict for r in urls.judge(frame, []).collect()} == {"allow"}
-    assert {r.verdict for r in urls.judge(frame, [urls.Rule("block", "com", "/")]).collect()} == {"block"}
+    labelled = lambda verdict: urls.fit(frame.select("url", F.lit(verdict).alias("verdict"), F.lit("clash").alias("host")))
+    assert {r.verdict for r in urls.judge(frame, [], labelled("block")).collect()} == {"block"}
+    assert {r.verdict for r in urls.judge(frame, [], labelled("neither")).collect()} == {"allow"}
+    assert {r.verdict for r in urls.judge(frame, [], labelled(None)).collect()} == {"allow"}
+    both = frame.select("url", F.explode(F.array(F.lit("allow"), F.lit("block"))).alias("verdict"))
+    assert urls.fit(both).trees is None
+
+
+def test_equally_long_rules(spark):
+    frame = spark.createDataFrame([(1, "http://a.b/cd/")], "page_id int, url string")
+    rules = [urls.Rule("block", "a.b", "/cd/"), urls.Rule("allow", "a.b", "/cd/")]
+    assert [r.verdict for r in urls.judge(frame, rules).collect()] == ["block"]
 
 
 def test_learns_from_labelled_urls(spark):
     def url(i):
         return (f"http://shop{i}.biz/p/{i * 7919}{i * 104729}?a={i}&b={i}&c=1", "block") if i % 2 else (f"http://site{i}.edu/about/us/page", "allow")
 
-    labelled = spark.createDataFrame([url(i) for i in range(400)], "url string, verdict string")
-    host, path = urls.host_and_path(labelled["url"])
-    model = urls.fit(labelled.select("url", host.alias("host"), path.alias("path"), "verdict"))
+    labelled = spark.createDataFrame([url(i) for i in range(400)] * 2, "url string, verdict string")
+    model = urls.fit(labelled)
     pages = spark.createDataFrame([(i, *url(i)) for i in range(400, 500)], "page_id int, url string, truth string")
     got = {r.page_id: r.verdict for r in urls.judge(pages, [], model).collect()}
     assert sum(got[r.page_id] == r.truth for r in pages.collect()) >= 98
+
+
+def test_sample_is_bounded_and_distinct(spark, monkeypatch):
+    monkeypatch.setattr(urls, "SAMPLE", 50)
+    rows = spark.createDataFrame([(f"http://h{i % 200}/", f"v{i}") for i in range(1_000)] + [(None, "x")], "url string, html string").repartition(4)
+    got = sorted(map(tuple, urls.sampled(rows, "html").collect()))
+    assert len(got) == len({u for u, _ in got}) == 50
+    assert all(v == min(f"v{i}" for i in range(1_000) if f"http://h{i % 200}/" == u) for u, v in got)
+    assert sorted(map(tuple, urls.sampled(rows.repartition(2), "html").collect())) == got
+
+
+def test_labels_do_not_follow_the_rules(spark):
+    """Pages of one suffix are blocked by a rule on some paths; the others are judged by their labels."""
+    rules = [urls.Rule("block", "net", "/es/")]
+    rows = [(i, f"http://s{i}.net/{'es' if i % 2 else 'de'}/{i}") for i in range(400)]
+    labelled = spark.createDataFrame([(u, "block" if i % 20 == 0 else "allow") for i, u in rows], "url string, verdict string")
+    got = urls.judge(spark.createDataFrame(rows, "page_id int, url string"), rules, urls.fit(labelled)).collect()
+    assert {r.verdict for r in got if r.rule} == {"block"}
+    free = [r for r in got if not r.rule]
+    assert sum(r.verdict == "block" for r in free) <= 0.1 * len(free)
+
+
+def test_unruled_pages_are_mostly_allowed(spark):
+    got = [r for r in QUERIES["op4_urls"](spark, SF).collect() if r.rule is None]
+    assert got and sum(r.verdict == "allow" for r in got) >= 0.8 * len(got)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm import bpe, centroids, chat, decontaminate, divergence, licenses, order_minhash, quality, secret_scan, simhash, token_blocks, urls, warc
-from tickloom.llm.common import new_folder, table
+from tickloom.llm.common import new_folder, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,7 +105,14 @@ URL_RULES = [
 
 @query("op4_urls")
 def op4_urls(spark, sf):
-    return urls.judge(table(spark, sf, "pages"), URL_RULES)
+    pages = table(spark, sf, "pages")
+    # Labelled URLs: those of sampled pages whose text a classifier, trained on the labelled documents, judges.
+    good = quality.fit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    read = urls.sampled(pages.select("url", "html"), "html")
+    read = stored(read.select(F.xxhash64("url").alias("doc_id"), "url", warc.plain_text(F.col("html")).alias("text")))
+    verdict = F.when(F.col("score") >= quality.THRESHOLD, urls.ALLOW).otherwise(urls.BLOCK)
+    labelled = quality.score(read, good).join(read.select("doc_id", "url"), "doc_id").select("url", verdict.alias("verdict"))
+    return urls.judge(pages, URL_RULES, urls.fit(stored(labelled)))
 
 
 @query("op12_centroids", centroids.sql())
