@@ -85,9 +85,42 @@ def test_near_matches(spark):
     docs = spark.createDataFrame([(1, "aa x bb cc"), (2, "bb aa"), (3, "aa y y y y bb"), (4, "cc")], "doc_id bigint, text string")
     asked = dc.Items.of(spark.createDataFrame([(7, "aa bb")], "item_id bigint, text string"))
     rare = dc.anchors(asked, dc.rarity(docs, asked))
-    index = dc.postings(docs, asked, rare)
-    assert {r.doc_id for r in dc.near(index, asked, rare, 2).collect()} == {1, 2}
-    assert {r.doc_id for r in dc.near(index, asked, rare, 4).collect()} == {1, 2, 3}
+    places = dc.asked_places(asked, rare)
+    index = dc.postings(docs, places)
+    assert {r.doc_id for r in dc.near(index, places, asked, rare, 2).collect()} == {1, 2}
+    assert {r.doc_id for r in dc.near(index, places, asked, rare, 4).collect()} == {1, 2, 3}
+
+
+def test_near_matches_of_awkward_rows(passages, items, no_rows):
+    """NULL and repeated ids, copies, an item of one word (no pair), texts without words."""
+    asked = dc.Items.of(items)
+    rare = dc.anchors(asked, dc.rarity(passages, asked))
+    places = dc.asked_places(asked, rare)
+    short = passages.where("length(text) < 10000 OR text IS NULL")
+    exact = {(r.doc_id, i) for r in short.collect() for i in [1, 10, 20] if brute(r.text, [(i, t) for j, t in [(x.item_id, x.text) for x in items.collect()] if j == i])[1]}
+    found = {(r.doc_id, int(r.item_id or -1)) for r in dc.near(dc.postings(short, places), places, asked, rare, 0).collect()}
+    assert exact <= found
+    assert dc.near(dc.postings(no_rows, places), places, asked, rare, 3).count() == 0
+
+
+def test_only_texts_with_candidates_are_marked(spark, passages):
+    rows = dc._keyed(passages).cache()
+    found = rows.where("doc_id IN (9, 106)").select("doc")
+    got = dc._marked(rows, found).collect()
+    assert len(got) == passages.count() and {r.doc_id for r in got if r.maybe} == {9, 106}
+    assert not [r for r in dc._marked(rows, found.limit(0)).collect() if r.maybe]
+
+
+def test_full_bit_map(passages, items, monkeypatch):
+    whole = sorted(map(tuple, dc.digests(dc.contamination(passages, items)).collect()), key=str)
+    monkeypatch.setattr(dc, "MASK_BITS", 0)
+    assert sorted(map(tuple, dc.digests(dc.contamination(passages, items)).collect()), key=str) == whole
+
+
+def test_null_ids_are_judged_row_by_row(spark, items):
+    rows = [(None, "a b c d e f g h i j"), (None, "the quick brown fox jumps over the lazy dog"), (None, "clean"), (None, None)]
+    found = dc.contamination(spark.createDataFrame(rows, "doc_id bigint, text string"), items).collect()
+    assert sorted((r.n_words, r.n_hit) for r in found) == [(0, 0), (1, 0), (9, 9), (10, 10)]
 
 
 def test_no_python_in_the_plan(spark):

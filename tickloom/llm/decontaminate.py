@@ -7,8 +7,9 @@
    intersected: a document and a beginning stay where both words of some window agree on it.
 4. What stays is compared word by word with the document, which gives the exact places of every window.
 
-Everything is DataFrame functions. The text is shuffled once, for step 4. Words are keyed by a 64-bit hash in the index; step 4
-compares the words themselves.
+Everything is DataFrame functions. A row goes by a 64-bit hash of its id and text, so that neither a NULL nor a repeated id
+gathers the candidates of many texts; words are keyed by a hash too. Step 4 compares the words themselves. Only texts that
+may have candidates are shuffled for it: the others are told apart by a bit map of fixed size (``MASK_BITS``) over the candidates' hashes.
 
 Words are runs of digits, a-z (A-Z is lower-cased) and anything outside ASCII. A NULL text has none.
 Rows that repeat an id are judged one by one; NULL ids are ids of their own; an item without an id has
@@ -26,6 +27,9 @@ from tickloom.llm.common import lower_ascii, new_column, stored, texts
 WINDOW = 10
 # Distinct words of all items that may be sent to every task, 16 bytes each; beyond it their join shuffles.
 BROADCAST_WORDS = 1_000_000
+# Size of the bit map of rows with candidates, sent to every task: 2^25 bits are 4 MB. With more candidates than bits it
+# rules out less, and more text is shuffled; the result is the same.
+MASK_BITS = 25
 
 
 def words(text: Column) -> Column:
@@ -54,9 +58,13 @@ class Items:
         return cls(rows, stored(exploded.select("item", "place", F.xxhash64("word").alias("term"))))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return texts(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("doc"), "text")
+
+
 def _tokens(docs: DataFrame) -> DataFrame:
-    exploded = texts(docs).select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "word"))
-    return exploded.select("doc_id", "pos", F.xxhash64("word").alias("term"))
+    exploded = _keyed(docs).select("doc_id", "doc", F.posexplode(words(F.col("text"))).alias("pos", "word"))
+    return exploded.select("doc_id", "doc", "pos", F.xxhash64("word").alias("term"))
 
 
 def rarity(docs: DataFrame, items: Items) -> DataFrame:
@@ -76,50 +84,69 @@ def anchors(items: Items, counts: DataFrame) -> DataFrame:
     return stored(placed.select("item", F.array_distinct(pairs).alias("pairs")))
 
 
-def postings(docs: DataFrame, items: Items, rare: DataFrame) -> DataFrame:
-    """The index: (term, doc_id, pos) of every word that some window is asked for by."""
+def asked_places(items: Items, rare: DataFrame) -> DataFrame:
+    """(item, place, term): the places that some window is asked for by."""
     places = rare.select("item", F.explode("pairs").alias("pair")).select("item", F.explode(F.array("pair.a", "pair.b")).alias("place")).distinct()
-    asked = places.join(items.terms, ["item", "place"])
-    return stored(_tokens(docs).join(_small(asked.select("term").distinct()), "term").select("term", "doc_id", "pos"))
+    return stored(places.join(items.terms, ["item", "place"]))
+
 
+def postings(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """The index: (term, doc_id, doc, pos) of every word that some window is asked for by."""
+    return stored(_tokens(docs).join(_small(asked.select("term").distinct()), "term").select("term", "doc_id", "doc", "pos"))
 
-def adjusted(index: DataFrame, items: Items) -> DataFrame:
-    """(doc_id, item, begin, place): where an item would begin for its word at ``place`` to stand where it does."""
-    return index.join(_small(items.terms), "term").select("doc_id", "item", (F.col("pos") - F.col("place")).alias("begin"), "place")
 
+def adjusted(index: DataFrame, asked: DataFrame) -> DataFrame:
+    """(doc_id, doc, item, begin, place): where an item would begin for its word at ``place`` to stand where it does."""
+    return index.join(_small(asked), "term").select("doc_id", "doc", "item", (F.col("pos") - F.col("place")).alias("begin"), "place")
 
-def aligned(index: DataFrame, items: Items, rare: DataFrame) -> DataFrame:
-    """(doc_id, item, begin) where both rarest words of some window agree."""
-    agreed = adjusted(index, items).groupBy("doc_id", "item", "begin").agg(F.collect_set("place").alias("places"))
+
+def aligned(index: DataFrame, asked: DataFrame, rare: DataFrame) -> DataFrame:
+    """(doc, item, begin) where both rarest words of some window agree."""
+    agreed = adjusted(index, asked).groupBy("doc", "item", "begin").agg(F.collect_set("place").alias("places"))
     both = F.exists("pairs", lambda p: F.array_contains("places", p["a"]) & F.array_contains("places", p["b"]))
-    return agreed.join(rare, "item").where(both).select("doc_id", "item", "begin")
+    return agreed.join(rare, "item").where(both).select("doc", "item", "begin")
 
 
-def near(index: DataFrame, items: Items, rare: DataFrame, slop: int) -> DataFrame:
+def near(index: DataFrame, asked: DataFrame, items: Items, rare: DataFrame, slop: int) -> DataFrame:
     """Proximity matches: (doc_id, item_id, a_pos, b_pos) where the two rarest words of a window stand within ``slop`` words of
     their distance in the item. Beginnings are put in buckets of ``slop + 1``, so only neighbours meet."""
     pairs = rare.select("item", F.explode("pairs").alias("p")).select("item", "p.a", "p.b").where(F.col("a") != F.col("b"))
-    found = adjusted(index, items)
+    found = adjusted(index, asked)
     bucket = F.floor(F.col("begin") / (slop + 1))
     left = found.withColumnRenamed("place", "a").join(pairs, ["item", "a"])
-    left = left.select("doc_id", "item", "a", "b", F.col("begin").alias("a_begin"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("bucket"))
-    right = found.select("doc_id", "item", F.col("place").alias("b"), F.col("begin").alias("b_begin"), bucket.alias("bucket"))
-    met = left.join(right.withColumnRenamed("doc_id", "b_doc").withColumnRenamed("item", "b_item").withColumnRenamed("b", "b_place").withColumnRenamed("bucket", "b_bucket"),
-                    F.col("doc_id").eqNullSafe(F.col("b_doc")) & (F.col("item") == F.col("b_item")) & (F.col("b") == F.col("b_place")) & (F.col("bucket") == F.col("b_bucket")))
+    left = left.select("doc_id", "doc", "item", "a", "b", F.col("begin").alias("a_begin"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("bucket"))
+    right = found.select(F.col("doc").alias("b_doc"), "item", F.col("place").alias("b"), F.col("begin").alias("b_begin"), bucket.alias("bucket"))
+    right = right.withColumnsRenamed({"item": "b_item", "b": "b_place", "bucket": "b_bucket"})
+    same = (F.col("doc") == F.col("b_doc")) & (F.col("item") == F.col("b_item")) & (F.col("b") == F.col("b_place")) & (F.col("bucket") == F.col("b_bucket"))
+    met = left.join(right, same)
     met = met.where(F.abs(F.col("a_begin") - F.col("b_begin")) <= slop)
     named = met.join(items.rows.select("item", "item_id"), "item")
     return named.select("doc_id", "item_id", (F.col("a_begin") + F.col("a")).alias("a_pos"), (F.col("b_begin") + F.col("b")).alias("b_pos")).distinct()
 
 
+def _marked(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with ``maybe``: false only where no row of ``found`` has the same ``doc``."""
+    slot = F.pmod(F.col("doc"), F.lit(1 << MASK_BITS))
+    # A row of 4 KB for each 32,768 slots, so this side has a size that no corpus changes.
+    masks = found.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("mask"))
+    position = F.bitmap_bit_position(slot)
+    octet = F.conv(F.hex(F.substring("mask", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.expr("shiftright(octet, int(pmod(position, 8))) & 1")
+    held = rows.withColumns({"bucket": F.bitmap_bucket_number(slot), "position": position}).join(F.broadcast(masks), "bucket", "left")
+    return held.withColumn("octet", octet).withColumn("maybe", F.coalesce(bit == 1, F.lit(False))).select(*rows.columns, "maybe")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, and matches, an array of (item_id, length of its windows, starts), NULL without candidates."""
     items = Items.of(benchmark)
     rare = anchors(items, rarity(docs, items))
-    candidates = aligned(postings(docs, items, rare), items, rare).join(items.rows, "item")
+    places = asked_places(items, rare)
+    candidates = stored(aligned(postings(docs, places), places, rare))
     length = F.least(F.size("said"), F.lit(WINDOW))
     candidate = F.struct("item_id", "said", "begin", length.alias("length"), F.sequence(F.lit(0), F.size("said") - length).alias("offsets"), F.sequence(F.lit(0), length - 1).alias("steps"))
-    asked = candidates.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(candidate).alias("asked"))
-    rows = texts(docs).join(asked, F.col("doc_id").eqNullSafe(F.col("id")), "left").select("doc_id", words(F.col("text")).alias("spoken"), "asked")
+    asked = candidates.join(items.rows, "item").groupBy("doc").agg(F.collect_list(candidate).alias("asked"))
+    marked = _marked(_keyed(docs), candidates)
+    rows = marked.where("maybe").join(asked, "doc", "left").select("doc_id", words(F.col("text")).alias("spoken"), "asked")
     # One word at a time: slice() would copy the whole document for every window. The words are bound to w, so
     # that they are made once per row even where a filter on the result is pushed down to the text.
     held = F.expr("""
@@ -128,12 +155,19 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             'length', c.length,
             'starts', transform(filter(c.offsets, s -> forall(c.steps, k -> get(w, c.begin + s + k) = get(c.said, s + k))), s -> c.begin + s)
         )), m -> size(m.starts) > 0)), 1)""")
-    return rows.select("doc_id", F.size("spoken").cast("bigint").alias("n_words"), held.alias("matches"))
+    compared = rows.select("doc_id", F.size("spoken").cast("bigint").alias("n_words"), held.alias("matches"))
+    clean = marked.where("NOT maybe").select("doc_id", F.size(words(F.col("text"))).cast("bigint").alias("n_words"), F.lit(None).cast(compared.schema["matches"].dataType).alias("matches"))
+    return compared.unionByName(clean)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row: its words, those inside any window, the items found, and the verdict."""
-    hit = F.expr("size(array_distinct(flatten(transform(matches, m -> flatten(transform(m.starts, s -> sequence(s, s + m.length - 1)))))))")
+    # Sorted spans, each counted from where the ones before it end.
+    hit = F.expr("""
+        aggregate(array_sort(flatten(transform(matches, m -> transform(m.starts, s -> named_struct('s', s, 'e', s + m.length))))),
+            named_struct('n', 0, 'e', 0),
+            (t, x) -> named_struct('n', t.n + greatest(x.e - greatest(x.s, t.e), 0), 'e', greatest(x.e, t.e)),
+            t -> t.n)""")
     items = F.expr("array_sort(array_distinct(transform(matches, m -> m.item_id)))")
     none = F.col("matches").isNull()
     rows = matches(docs, benchmark).select(
