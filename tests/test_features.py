@@ -97,3 +97,23 @@ def test_plan_must_cover_the_lookback(spark, hours):
 
     with pytest.raises(ValueError):
         ind.full_features(ramp(spark, hours), plan=BlockPlan(lookback=100, block_rows=500))
+
+
+def test_ieee_divides_by_zero_prices_and_keeps_the_rows(spark, hours):
+    closes = [5.0] * 24 + [0.0, 3.0, 0.0, 0.0] + [5.0] * 2
+    df = bars(spark, [(hours(i), c, c + 1, c, c, 1.0) for i, c in enumerate(closes)])
+    full = ind.full_features(df, plan=None, ieee=True)
+    out = rows_by_time(full)
+    assert out[25]["return_1h"] == math.inf and math.isnan(out[27]["return_1h"])
+    assert out[24]["target_return_1h"] == math.inf and out[24]["atr_ratio"] == math.inf
+    assert out[0]["return_1h"] is None and out[29]["return_1h"] == 0.0
+    assert ind.drop_warmup(full).count() == 6
+
+
+def test_rounding_keeps_what_has_no_decimals(spark):
+    from tickloom.queries.base import r6
+
+    values = [math.inf, -math.inf, math.nan, 1e300, -3e13, 1.23456789, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i INT, v DOUBLE")
+    got = [r.v for r in df.select("i", r6(F.col("v")).alias("v")).orderBy("i").collect()]
+    assert got[:2] == [math.inf, -math.inf] and math.isnan(got[2]) and got[3:] == [1e300, -3e13, 1.234568, None]

@@ -65,13 +65,21 @@ def apply(df: DataFrame, *indicators: Indicator) -> DataFrame:
     return df.drop(*scratch)
 
 
+def quotient(a: Column | str, b: Column | str, ieee: bool = False) -> Column:
+    """``a / b`` of doubles. Division by zero gives NULL, or with ``ieee`` the infinity or NaN that SQL engines with
+    IEEE arithmetic give."""
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
+    known = F.try_divide(a, b)
+    return F.when(b == 0, a * F.pow(b, F.lit(-1.0))).otherwise(known) if ieee else known
+
+
 def lags(w: SeriesWindow, steps=LAGS) -> Indicator:
     return Indicator(base={f"close_lag_{n}h": F.lag("close", n).over(w.ordered) for n in steps})
 
 
-def returns(w: SeriesWindow, steps=RETURN_STEPS) -> Indicator:
+def returns(w: SeriesWindow, steps=RETURN_STEPS, ieee: bool = False) -> Indicator:
     past = {n: F.lag("close", n).over(w.ordered) for n in steps}
-    return Indicator(base={f"return_{n}h": F.try_divide("close", past[n]) - 1 for n in steps})
+    return Indicator(base={f"return_{n}h": quotient("close", past[n], ieee) - 1 for n in steps})
 
 
 def spreads() -> Indicator:
@@ -80,10 +88,10 @@ def spreads() -> Indicator:
     )
 
 
-def averages(w: SeriesWindow, sizes=AVERAGES, ratios: bool = True) -> Indicator:
+def averages(w: SeriesWindow, sizes=AVERAGES, ratios: bool = True, ieee: bool = False) -> Indicator:
     return Indicator(
         base={f"ma_{n}": F.avg("close").over(w.trailing(n)) for n in sizes},
-        final={f"close_ma{n}_ratio": F.try_divide("close", f"ma_{n}") for n in sizes} if ratios else {},
+        final={f"close_ma{n}_ratio": quotient("close", f"ma_{n}", ieee) for n in sizes} if ratios else {},
     )
 
 
@@ -116,7 +124,7 @@ def rsi(w: SeriesWindow, size: int = 14) -> Indicator:
     )
 
 
-def atr(w: SeriesWindow, size: int = 14) -> Indicator:
+def atr(w: SeriesWindow, size: int = 14, ieee: bool = False) -> Indicator:
     """Average true range and its ratio to the close. Without a previous close the range is high-low."""
     before = F.lag("close", 1).over(w.ordered)
     span = F.greatest(
@@ -125,7 +133,7 @@ def atr(w: SeriesWindow, size: int = 14) -> Indicator:
     return Indicator(
         base={"_range": span},
         chained={f"atr_{size}": F.avg("_range").over(w.trailing(size))},
-        final={"atr_ratio": F.try_divide(f"atr_{size}", "close")},
+        final={"atr_ratio": quotient(f"atr_{size}", "close", ieee)},
     )
 
 
@@ -157,11 +165,11 @@ def calendar(time: str = TIME) -> Indicator:
     )
 
 
-def targets(w: SeriesWindow, horizon: timedelta = HORIZON) -> Indicator:
+def targets(w: SeriesWindow, horizon: timedelta = HORIZON, ieee: bool = False) -> Indicator:
     """Close at exactly ``horizon`` later and the return to it; NULL when that bar is missing."""
     return Indicator(
         base={"target_close_1h": w.at_offset("close", horizon)},
-        final={"target_return_1h": F.try_divide("target_close_1h", "close") - 1},
+        final={"target_return_1h": quotient("target_close_1h", "close", ieee) - 1},
     )
 
 
@@ -200,25 +208,27 @@ def basic_features(
 
 
 def full_features(
-    bars: DataFrame, keys: list[str] | None = None, plan: BlockPlan | None = FULL_PLAN
+    bars: DataFrame, keys: list[str] | None = None, plan: BlockPlan | None = FULL_PLAN, ieee: bool = False
 ) -> DataFrame:
     """All indicator groups and both targets. ``bars`` must hold one row per (keys, open_time).
 
-    Blocks are on by default, so one long series spreads over the cluster.
+    Blocks are on by default, so one long series spreads over the cluster. Returns and ratios of a zero price are NULL,
+    or with ``ieee`` infinite or NaN.
     """
     keys = KEYS if keys is None else keys
     if plan is not None and plan.lookback < FULL_LOOKBACK:
         raise ValueError(f"the full feature set looks back {FULL_LOOKBACK} rows, plan has {plan.lookback}")
 
     def build(df, w):
-        groups = (lags, returns, averages, macd, rsi, atr, band_width, volumes, targets)
-        return apply(df, spreads(), calendar(), *[group(w) for group in groups])
+        groups = (lags, macd, rsi, band_width, volumes)
+        by_price = (returns, averages, atr, targets)
+        return apply(df, spreads(), calendar(), *[group(w) for group in groups], *[group(w, ieee=ieee) for group in by_price])
 
     return over_series(bars, keys, TIME, build, plan)
 
 
 def features_since(
-    bars: DataFrame, start, keys: list[str] | None = None, plan: BlockPlan | None = FULL_PLAN
+    bars: DataFrame, start, keys: list[str] | None = None, plan: BlockPlan | None = FULL_PLAN, ieee: bool = False
 ) -> DataFrame:
     """:func:`full_features` of the bars from ``start`` on, without computing the rest.
 
@@ -229,19 +239,24 @@ def features_since(
     start = start if isinstance(start, Column) else F.lit(start)
     context = last_rows(bars.where(F.col(TIME) < start), keys, TIME, FULL_LOOKBACK)
     fresh = bars.where(F.col(TIME) >= start)
-    return full_features(context.unionByName(fresh), keys, plan).where(F.col(TIME) >= start)
+    return full_features(context.unionByName(fresh), keys, plan, ieee).where(F.col(TIME) >= start)
+
+
+def _known(required) -> Column:
+    known = F.lit(True)
+    for name in required:
+        known = known & F.col(name).isNotNull()
+    return known
 
 
 def drop_warmup(features: DataFrame, required=WARMUP_COLUMNS) -> DataFrame:
-    """Rows whose look-back columns are all known. The longest needed lag decides: 24 rows per series."""
-    return features.dropna(subset=list(required))
+    """Rows whose look-back columns are all known; NaN is known. The longest needed lag decides: 24 rows per series."""
+    return features.where(_known(required))
 
 
 def warmup_report(features: DataFrame, required=WARMUP_COLUMNS) -> DataFrame:
     """Rows before, after and dropped, from one aggregate instead of two counts."""
-    known = F.lit(True)
-    for name in required:
-        known = known & F.col(name).isNotNull()
+    known = _known(required)
     return features.agg(
         F.count("*").alias("rows_before"),
         F.count_if(known).alias("rows_after"),

@@ -36,7 +36,9 @@ def query(name: str, sql: str | None = None):
 
 
 def r6(value: Column) -> Column:
-    return F.floor(value * 1e6 + 0.500123).cast("double") / 1e6
+    # Spark's floor of a double is a BIGINT; infinities, NaN and what does not fit it have no decimals left.
+    scaled = value * 1e6 + 0.500123
+    return F.when(F.abs(scaled) < float(1 << 62), F.floor(scaled).cast("double")).otherwise(scaled) / 1e6
 
 
 def rounded(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
@@ -77,9 +79,9 @@ def user_bars(spark: SparkSession, sf: str) -> DataFrame:
     return build_bars(table(spark, sf, "events"), series, tie="event_id", source="events")
 
 
-def features(spark: SparkSession, sf: str) -> DataFrame:
+def features(spark: SparkSession, sf: str, ieee: bool = False) -> DataFrame:
     """Full feature rows after the warm-up drop."""
-    return drop_warmup(full_features(bars(spark, sf)))
+    return drop_warmup(full_features(bars(spark, sf), ieee=ieee))
 
 
 def stored_features(spark: SparkSession, sf: str) -> DataFrame:

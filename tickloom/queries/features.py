@@ -48,15 +48,15 @@ def _indicator(name: str, columns: str, build, extra_where: str = ""):
     return run
 
 
-_indicator("ind_lags_returns", "close_lag_1h close_lag_2h close_lag_4h close_lag_12h close_lag_24h return_1h return_6h return_24h", lambda df, w: ind.apply(df, ind.lags(w), ind.returns(w)))
-_indicator("ind_averages", "ma_7 ma_24 ma_168 close_ma7_ratio close_ma24_ratio close_ma168_ratio", lambda df, w: ind.apply(df, ind.averages(w)))
+_indicator("ind_lags_returns", "close_lag_1h close_lag_2h close_lag_4h close_lag_12h close_lag_24h return_1h return_6h return_24h", lambda df, w: ind.apply(df, ind.lags(w), ind.returns(w, ieee=True)))
+_indicator("ind_averages", "ma_7 ma_24 ma_168 close_ma7_ratio close_ma24_ratio close_ma168_ratio", lambda df, w: ind.apply(df, ind.averages(w, ieee=True)))
 _indicator("ind_spreads", "hl_spread oc_change", lambda df, w: ind.apply(df, ind.spreads()))
 _indicator("ind_macd", "macd macd_signal macd_hist", lambda df, w: ind.apply(df, ind.macd(w)))
 _indicator("ind_rsi", "rsi_14", lambda df, w: ind.apply(df, ind.rsi(w)))
-_indicator("ind_atr", "atr_14 atr_ratio", lambda df, w: ind.apply(df, ind.atr(w)))
+_indicator("ind_atr", "atr_14 atr_ratio", lambda df, w: ind.apply(df, ind.atr(w, ieee=True)))
 _indicator("ind_bollinger", "bb_width", lambda df, w: ind.apply(df, ind.band_width(w)))
 _indicator("ind_volume", "volume_ratio log_volume", lambda df, w: ind.apply(df, ind.volumes(w)))
-_indicator("targets_exact_horizon", "target_close_1h target_return_1h", lambda df, w: ind.apply(df, ind.targets(w)))
+_indicator("targets_exact_horizon", "target_close_1h target_return_1h", lambda df, w: ind.apply(df, ind.targets(w, ieee=True)))
 
 
 @query(
@@ -101,12 +101,12 @@ FULL = (
 
 @query("features_full_dropna", f"WITH {SQL_FEATURES} SELECT symbol, open_time, {sql_rounded(FULL)} FROM features")
 def features_full_dropna(spark, sf):
-    return rounded(base.features(spark, sf).select("symbol", "open_time", *FULL.split()))
+    return rounded(base.features(spark, sf, ieee=True).select("symbol", "open_time", *FULL.split()))
 
 
 @query("user_features_full", f"WITH {SQL_USER_BARS}, {sql_features('user_bars')}, {base.SQL_WARM} SELECT symbol, open_time, {sql_rounded(FULL)} FROM features")
 def user_features_full(spark, sf):
-    out = ind.drop_warmup(ind.full_features(base.user_bars(spark, sf)))
+    out = ind.drop_warmup(ind.full_features(base.user_bars(spark, sf), ieee=True))
     return rounded(out.select("symbol", "open_time", *FULL.split()))
 
 
@@ -114,7 +114,7 @@ def user_features_full(spark, sf):
 def blocked_window_features(spark, sf):
     """Full features with blocks small enough that every series is cut several times."""
     plan = BlockPlan(ind.FULL_LOOKBACK, ind.HORIZON, bucket=timedelta(days=1), block_rows=200, split_above=0)
-    return rounded(ind.full_features(base.bars(spark, sf), plan=plan).select("symbol", "open_time", *FULL.split()))
+    return rounded(ind.full_features(base.bars(spark, sf), plan=plan, ieee=True).select("symbol", "open_time", *FULL.split()))
 
 
 @query(
@@ -126,7 +126,7 @@ def features_since(spark, sf):
     """Only the newest three days, as an hourly run computes them."""
     bars = checkpointed(base.bars(spark, sf))
     start = bars.agg(F.max("open_time")).scalar() - F.expr("INTERVAL 72 HOURS")
-    return rounded(ind.features_since(bars, start).select("symbol", "open_time", *FULL.split()))
+    return rounded(ind.features_since(bars, start, ieee=True).select("symbol", "open_time", *FULL.split()))
 
 
 @query(
@@ -135,7 +135,7 @@ def features_since(spark, sf):
     (SELECT count(*) FROM all_features) - (SELECT count(*) FROM features) AS rows_dropped""",
 )
 def warmup_report(spark, sf):
-    return ind.warmup_report(ind.full_features(base.bars(spark, sf)))
+    return ind.warmup_report(ind.full_features(base.bars(spark, sf), ieee=True))
 
 
 @query(
