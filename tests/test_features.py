@@ -117,3 +117,9 @@ def test_rounding_keeps_what_has_no_decimals(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i INT, v DOUBLE")
     got = [r.v for r in df.select("i", r6(F.col("v")).alias("v")).orderBy("i").collect()]
     assert got[:2] == [math.inf, -math.inf] and math.isnan(got[2]) and got[3:] == [1e300, -3e13, 1.234568, None]
+
+
+def test_basic_features_of_zero_prices(spark, hours):
+    df = bars(spark, [(hours(i), c, c, c, c, 1.0) for i, c in enumerate([0.0, 3.0, 0.0])])
+    of = lambda **how: [r["return_1h"] for r in rows_by_time(ind.basic_features(df, unique=True, **how))]
+    assert of(ieee=True) == [None, math.inf, -1.0] and of() == [None, None, -1.0]

@@ -185,11 +185,12 @@ def basic_features(
     keys: list[str] | None = None,
     plan: BlockPlan | None = FULL_PLAN,
     unique: bool = False,
+    ieee: bool = False,
 ) -> DataFrame:
     """The small feature set: averages, lags, one return, spreads, hour, weekday, next-hour close.
 
     Repeated bars are reduced to one per (keys, open_time) first, unless ``unique`` says there are
-    none (bars built by aggregation, or merged by key).
+    none (bars built by aggregation, or merged by key). ``ieee`` as in :func:`full_features`.
     """
     keys = KEYS if keys is None else keys
     reach = max([*sizes, *lag_steps, 1])
@@ -200,7 +201,7 @@ def basic_features(
         when = Indicator(final={"hour": F.hour(TIME), "day_of_week": F.dayofweek(TIME)})
         target = Indicator(base={"target_close_1h": w.at_offset("close", HORIZON)})
         return apply(
-            df, averages(w, sizes, ratios=False), lags(w, lag_steps), returns(w, (1,)), spreads(), when, target
+            df, averages(w, sizes, ratios=False), lags(w, lag_steps), returns(w, (1,), ieee), spreads(), when, target
         )
 
     rows = bars if unique else one_per_key(bars, [*keys, TIME])

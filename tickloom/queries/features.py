@@ -78,7 +78,7 @@ _BASIC = "ma_7 ma_24 ma_168 close_lag_1h close_lag_2h close_lag_4h close_lag_12h
 )
 def bars_features_target(spark, sf):
     """Flagship: ticks to bars to the basic feature set with the exact next-hour target."""
-    out = ind.basic_features(base.bars(spark, sf), unique=True)
+    out = ind.basic_features(base.bars(spark, sf), unique=True, ieee=True)
     return rounded(out.select("symbol", "open_time", "hour", "day_of_week", "close", *_BASIC.split()))
 
 
@@ -88,7 +88,7 @@ def bars_features_target(spark, sf):
 )
 def user_features_target(spark, sf):
     """The same over many sparse series."""
-    out = ind.basic_features(base.user_bars(spark, sf), unique=True)
+    out = ind.basic_features(base.user_bars(spark, sf), unique=True, ieee=True)
     return rounded(out.select("symbol", "open_time", "close", *_BASIC.split()))
 
 
