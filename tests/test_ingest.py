@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tickloom import schemas
 from tickloom.functions.parse import interval_hours, parse_timestamp
+from tickloom.functions.rules import bar_rules
 from tickloom.operators.bars import build_bars, closed_bars, high_water, newer_than
 from tickloom.operators.upsert import loaded_since, retain_recent, upsert
 from tickloom.sources.jobs import read_job_runs
@@ -159,6 +160,17 @@ def test_bad_rows_fail_the_batch_or_go_to_quarantine(spark, tmp_path):
     assert reasons == {("open_time_unparseable",), ("negative_volume",)}
 
 
+def test_values_of_any_sign_pass_without_the_sign_rules(spark, tmp_path):
+    paths = paths_in(tmp_path)
+    land(landing_rows(spark, 2, low=0.0).unionByName(landing_rows(spark, 1, start=2, low=-5.0, volume=-5.0)), paths.landing)
+    start_ingest(spark, paths, rules=bar_rules(signs=False))
+    assert SnapshotTable(spark, paths.raw).read().count() == 3
+    crossed = paths_in(tmp_path / "crossed")
+    land(landing_rows(spark, 1, low=100.5), crossed.landing)
+    with pytest.raises(Exception, match="1 invalid rows"):
+        start_ingest(spark, crossed, rules=bar_rules(signs=False))
+
+
 def test_staging_append_captures_origin(spark, tmp_path):
     land(landing_rows(spark, 2), str(tmp_path / "l"))
     staged_append(spark, str(tmp_path / "l"), str(tmp_path / "c"), str(tmp_path / "s"))

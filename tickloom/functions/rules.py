@@ -8,11 +8,12 @@ PRICES = ("open", "high", "low", "close")
 SIZES = ("volume", "quote_volume", "trades")
 
 
-def bar_rules(strict: bool = False) -> dict[str, Column]:
+def bar_rules(strict: bool = False, signs: bool = True) -> dict[str, Column]:
     """The 14 rules of a parsed bar.
 
     Comparisons with NULL are unknown and do not fire, so a bar with a missing price passes unless
-    ``strict`` adds the ``null_*`` rules.
+    ``strict`` adds the ``null_*`` rules. ``signs=False`` leaves out the rules on signs, for series whose
+    values are no prices and may be zero or less.
     """
     c = F.col
     rules = {
@@ -26,6 +27,8 @@ def bar_rules(strict: bool = False) -> dict[str, Column]:
         "interval_missing": c("interval").isNull(),
         "fetched_at_missing": c("fetched_at").isNull(),
     }
+    if not signs:
+        rules = {name: bad for name, bad in rules.items() if not name.startswith(("non_positive_", "negative_"))}
     if strict:
         rules.update({f"null_{p}": c(p).isNull() for p in PRICES})
     return rules

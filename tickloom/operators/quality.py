@@ -12,9 +12,9 @@ def mark_broken(df: DataFrame, rules: dict[str, Column] | None = None, strict: b
     return df.withColumn("broken_rules", broken_rules(rules or bar_rules(strict)))
 
 
-def split_valid(df: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+def split_valid(df: DataFrame, strict: bool = False, rules: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined rows with their reasons)."""
-    marked = mark_broken(df, strict=strict)
+    marked = mark_broken(df, rules, strict)
     bad = F.size("broken_rules") > 0
     return marked.where(~bad).drop("broken_rules"), marked.where(bad)
 

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tickloom.functions.rules import bar_rules
 from tickloom.operators import models as m
 from tickloom.operators import split as s
 from tickloom.operators.evaluate import score_table
@@ -112,14 +113,14 @@ def _corrections(bars):
 @query("stream_ingest", f"WITH {_CORRECTED} SELECT {_BAR_LIST} FROM corrected")
 def stream_ingest(spark, sf):
     """Bars written as landing CSV, ingested by the file stream; then a file of corrections, ingested by
-    a second run that must see only the new file."""
+    a second run that must see only the new file. Event values are no prices, so bars of any sign are good."""
     root = _scratch(spark)
     paths = IngestPaths(f"{root}/landing", f"{root}/checkpoint", f"{root}/staging", f"{root}/raw")
     bars = checkpointed(base.bars(spark, sf).withColumn("fetched_at", F.col("close_time")))
     write_landing(bars, paths.landing)
-    start_ingest(spark, paths)
+    start_ingest(spark, paths, rules=bar_rules(signs=False))
     write_landing(_corrections(bars), paths.landing)
-    start_ingest(spark, paths)
+    start_ingest(spark, paths, rules=bar_rules(signs=False))
     return _ntz_bars(SnapshotTable(spark, paths.raw).read())
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.operators.quality import batch_summary, split_valid
 from tickloom.operators.upsert import retain_recent
@@ -31,19 +31,19 @@ class IngestPaths:
     quarantine: str | None = None  # set it to keep good rows and set bad ones aside
 
 
-def merge_batch(batch: DataFrame, raw: SnapshotTable, quarantine: str | None = None, defaults=None, batch_id: int = 0, stream: str | None = None) -> None:
+def merge_batch(batch: DataFrame, raw: SnapshotTable, quarantine: str | None = None, defaults=None, batch_id: int = 0, stream: str | None = None, rules: dict[str, Column] | None = None) -> None:
     """Parse, check and merge one batch of landing rows.
 
     Without a quarantine folder any bad row fails the batch, counts included; with one, bad rows are
     written there with the rules they break and the rest is merged. The folder of a batch is
     overwritten, so a replay sets the same rows aside once. ``stream`` tells batches of equal number apart; with
-    it, a batch that the raw table holds is skipped.
+    it, a batch that the raw table holds is skipped. ``rules`` (default: ``bar_rules()``) say which rows are bad.
     """
     batch_name = None if stream is None else f"{stream}:{batch_id}"
     if raw.version_of(batch_name) is not None:
         return
     parsed = parse_landing(batch, **({"defaults": defaults} if defaults else {}))
-    facts = batch_summary(parsed).first()
+    facts = batch_summary(parsed, rules).first()
     if facts["row_count"] == 0:
         return
     bad = facts["null_open_time_count"] + facts["invalid_count"]
@@ -54,7 +54,7 @@ def merge_batch(batch: DataFrame, raw: SnapshotTable, quarantine: str | None = N
             f"{facts['invalid_count']} invalid rows of {facts['row_count']}"
         )
     if bad:
-        good, rejected = split_valid(parsed)
+        good, rejected = split_valid(parsed, rules=rules)
         unparsed = F.col("open_time").isNull()
         lost = good.where(unparsed).withColumn("broken_rules", F.array(F.lit("open_time_unparseable")))
         rejected.unionByName(lost).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
@@ -69,8 +69,8 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
-def start_ingest(spark: SparkSession, paths: IngestPaths, max_files_per_trigger: int | None = None):
-    """Drain the landing folder and stop. Returns the finished query."""
+def start_ingest(spark: SparkSession, paths: IngestPaths, max_files_per_trigger: int | None = None, rules: dict[str, Column] | None = None):
+    """Drain the landing folder and stop. Returns the finished query. ``rules`` as in :func:`merge_batch`."""
     raw = SnapshotTable(spark, paths.raw)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -79,7 +79,7 @@ def start_ingest(spark: SparkSession, paths: IngestPaths, max_files_per_trigger:
         folder = f"{paths.staging}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(folder)
         stream = stream_id(batch.sparkSession, paths.checkpoint)
-        merge_batch(batch.sparkSession.read.schema(batch.schema).parquet(folder), raw, paths.quarantine, batch_id=batch_id, stream=stream)
+        merge_batch(batch.sparkSession.read.schema(batch.schema).parquet(folder), raw, paths.quarantine, batch_id=batch_id, stream=stream, rules=rules)
 
     query = (
         read_landing_stream(spark, paths.landing, max_files_per_trigger)
