@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from tickloom.operators.quantiles import exact_cuts
+from tickloom.operators.quantiles import _classed, exact_cuts
 
 
 def brute(values, parts):
@@ -43,3 +43,14 @@ def test_few_rows(spark):
     got = {r.feature: r.cuts for r in exact_cuts(one, ["a", "b"], 4).collect()}
     assert got == {"a": [1.0, 1.0, 2.0], "b": [5.0, 5.0, 5.0]}
     assert exact_cuts(one.limit(0), ["a", "b"]).count() == 0
+
+
+def test_many_proposals_are_searched_not_listed(spark):
+    cuts = [i / 2 for i in range(396)] + [math.inf, math.nan]
+    values = [-1.0, 0.0, 0.1, 98.5, 98.7, 197.5, 198.0, math.inf, math.nan]
+    rows = spark.createDataFrame([("r", v) for v in values] + [("s", 5.0)], "range STRING, value DOUBLE")
+    classed = _classed(spark, rows, {"r": cuts, "s": [5.0]})
+    got = {repr(r.value): r["class"] for r in classed.where("range = 'r'").collect()}
+    assert got == dict(zip(map(repr, values), [0, 1, 2, 395, 396, 791, 792, 793, 795]))
+    assert classed.where("range = 's'").first()["class"] == 1
+    assert classed._jdf.queryExecution().optimizedPlan().toString().count("cuts#") < 100

@@ -10,8 +10,6 @@ one place. The driver holds a sketch per range and a count per class: numbers of
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.operators.drift import BUCKETS, to_long
@@ -38,9 +36,11 @@ def _proposals(rows: DataFrame, targets: Targets, sizes: dict[str, int], accurac
 def _classed(spark: SparkSession, rows: DataFrame, proposals: dict[str, list[float]]) -> DataFrame:
     """Adds ``class``: 2 i between the proposals i - 1 and i, 2 i + 1 at proposal i."""
     cuts = spark.createDataFrame(list(proposals.items()), "range STRING, cuts ARRAY<DOUBLE>")
-    longest = max(map(len, proposals.values()))
-    below = reduce(lambda a, b: a + b, [F.coalesce((F.get("cuts", F.lit(i)) < F.col("value")).cast("int"), F.lit(0)) for i in range(longest)])
-    placed = rows.join(F.broadcast(cuts), "range").withColumn("below", below)
+    placed = rows.join(F.broadcast(cuts), "range").withColumn("below", F.lit(0))
+    # A binary search, one step per projection: one expression with a test for every proposal is too long for the JVM to compile.
+    for step in (1 << i for i in reversed(range(max(map(len, proposals.values())).bit_length()))):
+        reached = F.coalesce(F.get("cuts", F.col("below") + (step - 1)) < F.col("value"), F.lit(False))
+        placed = placed.withColumn("below", F.col("below") + F.when(reached, step).otherwise(0))
     at = F.coalesce((F.get("cuts", F.col("below")) == F.col("value")).cast("int"), F.lit(0))
     return placed.select("range", "value", (F.col("below") * 2 + at).alias("class"))
 
