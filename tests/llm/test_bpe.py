@@ -82,3 +82,16 @@ def test_table_of_known_words_shrinks_without_a_trace(coder, library, monkeypatc
     for _ in range(60):
         texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 20) + str(rng.randint(0, 30)) for _ in range(rng.randint(0, 30))) for _ in range(3)]
         assert [x.tolist() for x in coder.encode(texts)] == [library.encode_ordinary(t) for t in texts]
+
+
+def test_few_places_need_no_array_operations(monkeypatch):
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"abc": 257, b"cd": 258}
+    replay = bpe.MergeReplay(ranks)
+
+    def refuse(*_):
+        raise AssertionError("an array operation for a few places")
+
+    monkeypatch.setattr(bpe.np, "unique", refuse)
+    monkeypatch.setattr(replay, "_merge_at_once", refuse)
+    ids, counts = replay.encode([b"abcd", b"xabab", b"cdcd"])
+    assert ids.tolist() == [257, 100, 120, 256, 256, 258, 258] and counts.tolist() == [2, 3, 2]

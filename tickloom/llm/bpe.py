@@ -65,6 +65,7 @@ class MergeReplay:
             if token[:i] in ranks and token[i:] in ranks
         )
         self.keys, self.merged = np.array([*pairs, (1 << 62, -1)]).T.copy()
+        self.merges = dict(pairs)
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank that each pair merges into, -1 for none."""
@@ -114,13 +115,17 @@ class MergeReplay:
                 index[rank] = [place]
                 heappush(order, rank)
 
+        views = [memoryview(x) for x in (symbol, following, before, pair)]
         while order:
             rank = heappop(order)
-            places = np.array(index.pop(rank))
-            places = np.unique(places[pair[places] == rank])  # the others have changed since
-            if places.size > _FEW and self._merge_at_once(rank, places, symbol, following, before, pair, note):
-                continue
-            self._merge_in_turn(rank, places.tolist(), symbol, following, before, pair, note)
+            places = index.pop(rank)
+            if len(places) > _FEW:
+                some = np.array(places)
+                some = np.unique(some[pair[some] == rank])  # the others have changed since
+                if some.size > _FEW and self._merge_at_once(rank, some, symbol, following, before, pair, note):
+                    continue
+                places = some.tolist()
+            self._merge_in_turn(rank, sorted(set(places)), *views, note)
 
     def _merge_at_once(self, rank, places, symbol, following, before, pair, note) -> bool:
         """All places of a pair together; False, with nothing done, where their order matters."""
@@ -146,7 +151,7 @@ class MergeReplay:
 
     def _merge_in_turn(self, rank, places, symbol, following, before, pair, note) -> None:
         """From left to right; what remains goes back once a pair of lower rank has arisen."""
-        symbol, following, before, pair = map(memoryview, (symbol, following, before, pair))
+        merges = self.merges.get
         for n, at in enumerate(places, 1):
             if pair[at] != rank:
                 continue  # an earlier merge took one side
@@ -157,12 +162,12 @@ class MergeReplay:
             lower = False
             if after >= 0:
                 before[after] = at
-                if (new := self._rank(rank, symbol[after])) >= 0:
+                if (new := merges(rank << 32 | symbol[after], -1)) >= 0:
                     pair[at] = new
                     note(new, at)
                     lower = new < rank
             if left >= 0:
-                pair[left] = new = self._rank(symbol[left], rank)
+                pair[left] = new = merges(symbol[left] << 32 | rank, -1)
                 if new >= 0:
                     note(new, left)
                     lower |= new < rank
@@ -171,11 +176,6 @@ class MergeReplay:
                     note(rank, place)
                 return
 
-    def _rank(self, left: int, right: int) -> int:
-        key = left << 32 | right
-        at = int(self.keys.searchsorted(key))
-        return int(self.merged[at]) if self.keys[at] == key else -1
-
 
 @lru_cache(maxsize=1)
 def _unknown_to_reference() -> str:
