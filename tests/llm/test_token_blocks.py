@@ -68,3 +68,13 @@ def test_query_equals_the_library(spark, library):
     rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     got = sorted(tuple(r) for r in QUERIES["op9_token_blocks"](spark, SF).collect())
     assert got == expected(library, rows)
+
+
+def test_ascii_texts_are_not_searched_by_the_pattern(library, monkeypatch):
+    class Refuses:
+        def search(self, text):
+            raise AssertionError("the pattern was asked for an ASCII text")
+
+    monkeypatch.setattr(tb, "_RARE", Refuses())
+    some = ["plain words, it's 2", "a\x1cb \x1f c", ""]
+    assert [x.tolist() for x in tb.encoder(WORD_BPE).encode(some)] == [library.encode(t, add_special_tokens=False).ids for t in some]

@@ -79,8 +79,9 @@ def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray) -> byte
     body = np.empty(int(sizes.sum()), np.uint8)
     for w in np.unique(width[width > 0]).tolist():
         of = np.flatnonzero(width == w)
-        bits = above[of][:, :, None] >> np.arange(w, dtype=np.uint32) & np.uint32(1)
-        packed = np.packbits(bits.astype(np.uint8).reshape(of.size, -1), axis=1, bitorder="little")
+        octets = above[of].astype("<u4").view(np.uint8).reshape(of.size, BLOCK, 4)
+        bits = np.unpackbits(octets, axis=2, count=w, bitorder="little")
+        packed = np.packbits(bits.reshape(of.size, -1), axis=1, bitorder="little")
         body[index["start"][of].astype(np.int64)[:, None] + np.arange(packed.shape[1])] = packed
     docs = np.empty(len(doc_ids), _DOC)
     docs["doc_id"] = [0 if i is None else i for i in doc_ids]
@@ -150,6 +151,13 @@ _RARE = re.compile("[^\x00-ſ]|[İ\x1c-\x1f]")
 _LATIN = [chr(c) for c in range(0x180)]
 
 
+def _rare(text: str) -> bool:
+    """Does ``_RARE`` find anything? ASCII, as most texts are, is searched for the four separators only."""
+    if text.isascii():
+        return any(c in text for c in "\x1c\x1d\x1e\x1f")
+    return _RARE.search(text) is not None
+
+
 def _pattern() -> re.Pattern:
     """The vocabulary's word pattern over those characters."""
     letters, digits = ("".join(c for c in _LATIN if unicodedata.category(c)[0] == kind) for kind in "LN")
@@ -199,7 +207,7 @@ class WordEncoder:
         if len(self.codes) > _KNOWN:
             self._forget()
         code = self.codes.__getitem__
-        coded = [self._encode([t])[0] if _RARE.search(t) else np.fromiter(map(code, self.find(t.lower())), np.int32) for t in some]
+        coded = [self._encode([t])[0] if _rare(t) else np.fromiter(map(code, self.find(t.lower())), np.int32) for t in some]
         if len(self.codes) > self.counts.size:
             self._learn()
         return [np.array(c, np.uint32) if isinstance(c, list) else self._ids(c) for c in coded]
