@@ -81,6 +81,20 @@ def test_shuffle_instead_of_broadcast(passages, items, monkeypatch):
     assert sorted(map(tuple, dc.digests(dc.contamination(passages, items)).collect()), key=str) == whole
 
 
+def test_exploded_words_and_places_are_not_broadcast(passages, items, monkeypatch):
+    # Spark takes an explode to be as short as its input; here every input is small.
+    asked = dc.Items.of(items)
+    rare = dc.anchors(asked, dc.rarity(passages, asked))
+    places = dc.asked_places(asked, rare)
+    monkeypatch.setattr(dc, "BROADCAST_WORDS", 0)
+    monkeypatch.setattr(dc, "stored", lambda df: df)
+    for made in (dc.asked_places(asked, rare), dc.postings(passages, places)):
+        assert made.count() > 0
+        made.collect()
+        plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert re.findall(r"(\w+Join) \[", plan) == ["SortMergeJoin"]
+
+
 def test_near_matches(spark):
     docs = spark.createDataFrame([(1, "aa x bb cc"), (2, "bb aa"), (3, "aa y y y y bb"), (4, "cc")], "doc_id bigint, text string")
     asked = dc.Items.of(spark.createDataFrame([(7, "aa bb")], "item_id bigint, text string"))

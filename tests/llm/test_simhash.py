@@ -99,3 +99,16 @@ def test_one_row_per_group_where_ids_are_null_or_repeated(spark):
     assert kept.columns == docs.columns
     expected = [(None, t) for t in nameless] + [(1, t) for t in [*twice, copied]]
     assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=str) == sorted(expected, key=str)
+
+
+def joins_of(frame):
+    frame.collect()
+    return re.findall(r"(\w+Join) \[", frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+
+
+def test_probes_and_buckets_are_not_broadcast(spark):
+    # Without a bucket of many fingerprints either side looks as small as the table it is exploded from.
+    rng = random.Random(9)
+    prints = [rng.getrandbits(64) for _ in range(300)]
+    classes = simhash.stored(spark.createDataFrame([(simhash._signed(p),) for p in [*prints, prints[0] ^ 1]], "fp bigint"))
+    assert joins_of(simhash.links(classes)) == ["SortMergeJoin"]

@@ -38,8 +38,9 @@ def words(text: Column) -> Column:
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast where its counted rows allow it."""
-    return F.broadcast(df) if df.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS else df
+    """Marked for broadcast where its counted rows allow it, else for a merge join: the other side may be an explode, which Spark
+    takes to be no longer than its input."""
+    return F.broadcast(df) if df.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS else df.hint("merge")
 
 
 @dataclass(frozen=True)
@@ -87,7 +88,8 @@ def anchors(items: Items, counts: DataFrame) -> DataFrame:
 def asked_places(items: Items, rare: DataFrame) -> DataFrame:
     """(item, place, term): the places that some window is asked for by."""
     places = rare.select("item", F.explode("pairs").alias("pair")).select("item", F.explode(F.array("pair.a", "pair.b")).alias("place")).distinct()
-    return stored(places.join(items.terms, ["item", "place"]))
+    # Places are exploded, so Spark would take them for few and might broadcast them.
+    return stored(places.join(items.terms.hint("merge"), ["item", "place"]))
 
 
 def postings(docs: DataFrame, asked: DataFrame) -> DataFrame:

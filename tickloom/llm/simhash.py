@@ -160,7 +160,8 @@ def links(distinct: DataFrame) -> DataFrame:
     key3 = three.bitwiseXOR(F.col("flip")).bitwiseXOR(F.col("flip3"))
     asked = probes.select(F.col("fp").alias("a"), "ring", F.coalesce("full", F.lit(False)).alias("full"), F.when(F.col("full"), key3).otherwise(F.col("pair")).alias("key"))
 
-    candidates = asked.join(held, ["ring", "full", "key"]).where(F.col("a") < F.col("b"))
+    # Both sides are explodes, which Spark takes to be no longer than their input: left to it, it may broadcast one.
+    candidates = asked.join(held.hint("merge"), ["ring", "full", "key"]).where(F.col("a") < F.col("b"))
     differing = F.col("a").bitwiseXOR(F.col("b"))
     chained = candidates.where(by_ring(lambda i: _chain_holds(i, differing)))
     return chained.where(F.bit_count(differing) <= DISTANCE).select("a", "b").distinct()
