@@ -112,3 +112,8 @@ def test_probes_and_buckets_are_not_broadcast(spark):
     prints = [rng.getrandbits(64) for _ in range(300)]
     classes = simhash.stored(spark.createDataFrame([(simhash._signed(p),) for p in [*prints, prints[0] ^ 1]], "fp bigint"))
     assert joins_of(simhash.links(classes)) == ["SortMergeJoin"]
+
+
+def test_rows_and_classes_are_not_broadcast(spark):
+    docs = spark.createDataFrame([(i, f"{i} one two three {i % 7} four") for i in range(50)], "doc_id bigint, text string")
+    assert joins_of(simhash.groups(docs))[0] == "SortMergeJoin"

@@ -179,7 +179,8 @@ def groups(docs: DataFrame) -> DataFrame:
     smallest = named.groupBy("label").agg(F.min("first").alias("smallest"))
     joined = named.join(smallest, "label").select("fp", "smallest")
     final = classes.join(joined, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("component_id"))
-    return rows.join(final, "fp").select("doc_id", "fp", "component_id")
+    # One side has a row of every document, the other of every fingerprint: neither is broadcast, however well its files are packed.
+    return rows.join(final.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
